@@ -1,0 +1 @@
+"""Incremental runs over manifests that keep arriving."""
