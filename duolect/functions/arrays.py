@@ -54,8 +54,14 @@ def cut_samples(samples: Column, start_s: Column, end_s: Column, rate: Column) -
     return F.when(valid, F.slice(samples, (start + 1).cast("int"), (end - start).cast("int")))
 
 
+def plain_float(value: Column) -> Column:
+    """A double in positional notation with at least one decimal: ``1.0``, ``0.0005``."""
+    digits = F.regexp_replace(value.cast("decimal(38,18)").cast("string"), "0+$", "")
+    return F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
+
+
 def cut_name(path: Column, start_s: Column, end_s: Column) -> Column:
     """``<base>_cut_<start>-<end>.wav`` beside the input."""
     base = F.regexp_replace(path, r"(?<=[^/])\.[^./]*$", "")
-    return F.concat(base, F.lit("_cut_"), start_s.cast("double").cast("string"), F.lit("-"),
-                    end_s.cast("double").cast("string"), F.lit(".wav"))
+    return F.concat(base, F.lit("_cut_"), plain_float(start_s), F.lit("-"), plain_float(end_s),
+                    F.lit(".wav"))
