@@ -14,7 +14,7 @@ from duolect.config import SOURCE_RATE
 from duolect.functions.audio import decode_wav, load_mono, mono
 from duolect.operators import inference as I
 from duolect.operators.resume import first_success_wins
-from duolect.plans.build import run_job, spread
+from duolect.plans.build import run_job
 from duolect.plans.samples import add_source_text, infer_samples
 from duolect.session import materialize, workspace
 from duolect.sinks.export import export_samples as export_rows
@@ -252,7 +252,7 @@ def _sample_columns(df):
 def build_sample(spark, sf):
     """The stages as one lazy plan; every row is inferred, then duplicates settled."""
     cfg = config()
-    built = infer_samples(spread(sample_frame(spark, sf, cfg), None), cfg, standin_teachers())
+    built = infer_samples(sample_frame(spark, sf, cfg), cfg, standin_teachers())
     return _sample_columns(first_success_wins(materialize(built, "built")))
 
 
@@ -280,7 +280,7 @@ SELECT sample_id, 8 AS files FROM settled WHERE status = 'ok'""")
 def export_samples(spark, sf):
     cfg = config(workspace(spark, "job"))
     run_job(spark, cfg, standin_teachers(), sample_frame(spark, sf, cfg))
-    receipts = export_rows(read_dataset(spark, cfg), workspace(spark, "export").removeprefix("file:"))
+    receipts = export_rows(read_dataset(spark, cfg), workspace(spark, "export"))
     return materialize(receipts, "receipts")
 
 
@@ -289,7 +289,7 @@ SELECT CAST(vec_id AS VARCHAR) || '_cut_0.001-0.003.wav' AS cut_name, 32 AS n_sa
        CAST(list_sum(list_transform(range(17, 49), lambda i: (i - 16) * pcm[i])) AS BIGINT) AS digest
 FROM clips""")
 def write_segment(spark, sf):
-    root = workspace(spark, "cuts").removeprefix("file:")
+    root = workspace(spark, "cuts")
     clips = decode_clips(vector_clips(spark, sf, mixed=False), target_rate=None).select(
         F.concat(F.lit(root + "/"), F.col("vec_id").cast("string"), F.lit(".wav")).alias("path"), "samples",
         "sample_rate", F.lit(0.001).alias("start_s"), F.lit(0.003).alias("end_s"))

@@ -119,6 +119,12 @@ def infer_map(df: DataFrame, apply: Callable[[Any, dict], dict], inputs: Sequenc
     return source.mapInArrow(run, schema)
 
 
+def spread(df: DataFrame, partitions: int | None, *keys: str) -> DataFrame:
+    """Even tasks for an expensive stage, by keys that are unique per row. A fixed count
+    keeps the planner from merging many small text rows into a few long tasks."""
+    return df.repartition(partitions or 4 * df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def require_wave(waveform: np.ndarray, rate: int, expected: int, stage: str) -> np.ndarray:
     """A 1-D float32 waveform at the expected rate, or an error."""
     waveform = np.asarray(waveform, np.float32)
@@ -176,7 +182,7 @@ def tokenize(teachers: Teachers, waveform: np.ndarray, rate: int, bandwidth: flo
 
 
 def translate_texts(df: DataFrame, teachers: Teachers, languages: Sequence[str],
-                    text: str = "src_text") -> DataFrame:
+                    text: str = "src_text", partitions: int | None = None) -> DataFrame:
     """Add ``tgt_text``: blank text gives ``""`` without a call, every distinct text
     of a language pair is translated once, and unknown pairs are error rows.
 
@@ -204,7 +210,7 @@ def translate_texts(df: DataFrame, teachers: Teachers, languages: Sequence[str],
                 done[i] = {"_tgt": out.strip()}
         return done
 
-    translated = (infer_map(distinct, one, pair, "_tgt string", teachers, apply_many=many)
+    translated = (infer_map(spread(distinct, partitions, *pair), one, pair, "_tgt string", teachers, apply_many=many)
                   .withColumnsRenamed({c: f"_{c}" for c in ERROR_COLUMNS}))
     earlier = F.col("error_kind").isNotNull()
     found = {c: F.when(earlier, F.col(c)).otherwise(F.col(f"_{c}")) for c in ERROR_COLUMNS}

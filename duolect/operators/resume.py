@@ -41,16 +41,19 @@ def first_success_wins(df: DataFrame, keys: tuple[str, ...] = KEY, order: str =
     return marked.withColumns(changes).select(*df.columns)
 
 
-def rank_within_key(df: DataFrame, keys: tuple[str, ...] = KEY, order: str = "idx") -> DataFrame:
-    """Add ``rank``: 0 for the first row of a key, 1 for its next, and so on.
-
-    Most keys have one row and need no ranking; the rows of shared keys are ranked
-    by bounded buckets, so one key holding much of the manifest is no hot task.
-    """
-    shared = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-              .where(F.col("_rows") > 1))
-    marked = df.join(shared, list(keys), "left")
-    single = marked.where(F.col("_rows").isNull()).withColumn("rank", F.lit(0).cast("bigint"))
-    several = with_row_index(marked.where(F.col("_rows").isNotNull()), order, keys,
-                             restart=True, name="rank")
-    return single.unionByName(several).drop("_rows")
+def repeat_ranks(df: DataFrame, keys: tuple[str, ...] = KEY, order: str = "idx") -> DataFrame:
+    """``(order, rank)`` of the rows whose key has several: 0 for its first row, 1 for
+    the next, and so on. Ranking goes by bounded buckets, so one key that holds much
+    of the manifest is no hot task, and only key columns are read."""
+    narrow = df.select(*keys, order)
+    shared = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1)
+    repeated = narrow.join(shared, list(keys), "left_semi")
+    return with_row_index(repeated, order, keys, restart=True, name="rank").select(order, "rank")
+
+
+def rank_within_key(df: DataFrame, keys: tuple[str, ...] = KEY, order: str = "idx",
+                    ranks: DataFrame | None = None) -> DataFrame:
+    """Add ``rank``; most keys have a single row, which is its key's rank 0."""
+    repeated = repeat_ranks(df, keys, order) if ranks is None else ranks
+    return (df.join(repeated, order, "left")
+              .withColumn("rank", F.coalesce("rank", F.lit(0).cast("bigint"))))

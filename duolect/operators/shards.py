@@ -39,10 +39,12 @@ def with_row_index(df: DataFrame, order: str = "row_no", segment: Sequence[str]
     groups = (counts.groupBy(*seg, "_group").agg(F.sum("_n").alias("_n"))
               .select(*seg, "_group", base.alias("_base")))
     offsets = (counts.withColumn("_inside", _before([*seg, "_group"], ["_bucket"], "_n"))
-               .join(groups, [*seg, "_group"])
+               .join(groups, [*seg, "_group"], "left")
                .select(*seg, "_bucket", (F.col("_base") + F.col("_inside")).alias("_offset")))
     local = F.row_number().over(Window.partitionBy(*seg, "_bucket").orderBy(order)) - 1
-    return (rows.withColumn("_local", local).join(offsets, [*seg, "_bucket"])
+    # every bucket has its counts; left joins keep the row side from being broadcast
+    # and let the two uses of the counts share one exchange
+    return (rows.withColumn("_local", local).join(offsets, [*seg, "_bucket"], "left")
             .withColumn(name, (F.col("_offset") + F.col("_local")).cast("bigint"))
             .select(*df.columns, name))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,22 +21,13 @@ def scan_clips(spark: SparkSession, root: str, pattern: str = "*.wav") -> DataFr
 
     The listing is held by the driver, so this suits folders of up to some millions
     of files. A job over more takes its paths from the manifest and opens each clip
-    in the task that needs it (``open_clip``).
+    in the task that needs it (``functions.files.read_clip``).
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", pattern).load(root))
     return files.select(listed_path(F.col("path")).alias("path"), "length", "content")
 
 
-def open_clip(path: str) -> bytes:
-    """A clip's bytes from any file system pyarrow knows; runs in a task."""
-    system, name = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-    if system.get_file_info(name).type != fs.FileType.File:
-        raise FileNotFoundError(MISSING_CLIP + path)
-    with system.open_input_stream(name) as stream:
-        return stream.read()
-
-
 def decode_clips(df: DataFrame, target_rate: int | None = SOURCE_RATE,
                  content: str = "content") -> DataFrame:
     """Decode PCM WAV bytes to mono float samples at ``target_rate`` (None keeps the
