@@ -1,0 +1,119 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from doubles import CountingSpeaker, Unbuildable, WholeBatchTranslator
+from duolect.operators import inference as I
+from duolect.operators.guards import apply_guards, source_text_present, target_text_present
+from duolect.standins import FrameTokenizer, LevelSpeaker, RampSynthesizer, TagTranslator
+
+
+def teachers(**changes):
+    parts = dict(translator=TagTranslator, speaker=LevelSpeaker, synthesizer=RampSynthesizer,
+                 tokenizer=FrameTokenizer)
+    return I.Teachers(**{**parts, **changes})
+
+
+def texts(spark, rows):
+    return spark.createDataFrame(rows, "src_lang string, tgt_lang string, src_text string")
+
+
+def test_bad_rows_do_not_stop_their_neighbours(spark):
+    df = spark.range(100)
+    out = I.isolate_rows(df, lambda row: {"half": 10 // (row["id"] % 5)}, ["id"], "half bigint").collect()
+    assert len(out) == 100
+    for row in out:
+        if row.id % 5:
+            assert (row.status, row.half, row.error) == ("ok", 10 // (row.id % 5), None)
+        else:
+            assert (row.status, row.half, row.error_kind) == ("error", None, "ZeroDivisionError")
+            assert row.error.startswith("ZeroDivisionError('")
+
+
+def test_translation_of_blank_unknown_and_repeated_texts(spark):
+    rows = [("ru", "en", "a"), ("ru", "en", "a"), ("ru", "en", " "), ("ru", "en", None),
+            ("ru", "xx", "b"), ("ru", "xx", ""), ("en", "ru", "a")]
+    out = I.translate_texts(texts(spark, rows), teachers(), ("ru", "en")).collect()
+    got = sorted((r.src_lang, r.tgt_lang, r.src_text or "", r.tgt_text, r.error) for r in out)
+    assert got == sorted([
+        ("ru", "en", "a", "[en] a", None), ("ru", "en", "a", "[en] a", None), ("ru", "en", " ", "", None),
+        ("ru", "en", "", "", None), ("ru", "xx", "b", None, "ValueError('Unsupported language pair: ru->xx')"),
+        ("ru", "xx", "", "", None), ("en", "ru", "a", "[ru] a", None)])
+
+
+def test_a_batch_that_fails_is_redone_row_by_row(spark):
+    rows = [("ru", "en", f"t{i}") for i in range(40)] + [("ru", "en", "bad")]
+    out = I.translate_texts(texts(spark, rows), teachers(translator=WholeBatchTranslator), ("ru", "en"))
+    shown = {r.src_text: (r.tgt_text, r.error) for r in out.collect()}
+    assert shown["bad"] == (None, "ValueError('cannot')")
+    assert all(v == (f"[en] {k}", None) for k, v in shown.items() if k != "bad")
+
+
+def test_models_are_built_once_per_worker(spark, scratch):
+    models = teachers(speaker=lambda: CountingSpeaker(scratch))
+    apply = lambda t, row: {"spk": I.embed_speaker(t, np.zeros(16), 16000)}
+    out = I.infer_map(spark.range(0, 400, 1, 40), apply, ["id"], "spk array<float>", models)
+    assert out.count() == 400 and out.where("error is not null").count() == 0
+    with open(f"{scratch}/built") as log:
+        assert len(log.read().split()) <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_unused_and_absent_stages(spark):
+    rows = texts(spark, [("ru", "en", "a")])
+    assert I.translate_texts(rows, teachers(asr=Unbuildable), ("ru", "en")).first().error is None
+    with pytest.raises(ValueError, match="no factory"):
+        teachers().get("asr")
+
+
+def test_shape_and_rate_contracts():
+    models = teachers()
+    flat = np.zeros(32, np.float32)
+    with pytest.raises(ValueError, match="16000"):
+        I.embed_speaker(models, flat, 8000)
+    with pytest.raises(ValueError, match="1D"):
+        I.embed_speaker(models, np.zeros((2, 16)), 16000)
+    assert I.embed_speaker(models, flat, 16000).dtype == np.float32
+    with pytest.raises(ValueError, match="Empty text"):
+        I.synthesize(models, " \n", None, "en", flat, 0.9)
+
+    class Stereo:
+        sample_rate = 24000
+
+        def synthesize(self, *_):
+            return np.array([[0.0, 1.0], [1.0, 0.0]])
+
+    class Slow(Stereo):
+        sample_rate = 22050
+
+    class Deep(Stereo):
+        def synthesize(self, *_):
+            return np.zeros((1, 1, 4))
+
+    mixed = I.synthesize(teachers(synthesizer=Stereo), "x", None, "en", flat, 0.9)
+    assert mixed.tolist() == [0.5, 0.5] and mixed.dtype == np.float32
+    with pytest.raises(ValueError, match="24000"):
+        I.synthesize(teachers(synthesizer=Slow), "x", None, "en", flat, 0.9)
+    with pytest.raises(ValueError, match="1D"):
+        I.synthesize(teachers(synthesizer=Deep), "x", None, "en", flat, 0.9)
+
+    class Flat(FrameTokenizer):
+        def encode(self, waveform, bandwidth):
+            return np.zeros(4)
+
+    with pytest.raises(ValueError, match="batch, codebook, frame"):
+        I.tokenize(teachers(tokenizer=Flat), flat, 24000, 6.0)
+    codes = I.tokenize(models, np.zeros(641, np.float32), 24000, 3.0)
+    assert codes.shape == (4, 3) and codes.dtype == np.int64
+    # another input rate is brought to the codec's own first
+    assert I.tokenize(models, np.zeros(640, np.float32), 12000, 6.0).shape == (8, 4)
+
+
+def test_the_first_failing_guard_is_reported(spark):
+    df = spark.createDataFrame([("i", None, ""), ("j", "x", " "), ("k", "x", "y")], "id string, a string, b string")
+    checks = source_text_present(F.col("a"), F.col("id"), "txt"), target_text_present(F.col("b"))
+    rows = apply_guards(df, *checks).collect()
+    assert [r.error_msg for r in rows] == [
+        "Empty manifest text for id=i, column='txt'", "[chatterbox-tts] Empty text provided for synthesis", None]
+    assert [r.status for r in rows] == ["error", "error", "ok"]
+    again = apply_guards(apply_guards(df, checks[1]), checks[0]).collect()
+    assert again[0].error_msg.startswith("[chatterbox-tts]")

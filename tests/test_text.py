@@ -1,0 +1,78 @@
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from duolect.functions import text as T
+
+SPACES = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+
+
+def column(spark, values, build):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string").repartition(1)
+    return [r.out for r in df.select("i", build(F.col("v")).alias("out")).orderBy("i").collect()]
+
+
+def test_strip_equals_python_strip(spark):
+    rng = random.Random(1)
+    alphabet = SPACES + list("ab\u200b\ufeff\u180e.")
+    values = ["".join(rng.choices(alphabet, k=rng.randint(0, 12))) for _ in range(3000)]
+    values += [s + "x" + s + "y" + s for s in SPACES] + ["\n" * 5, "a\n", "a\r\n\n"]
+    values += ["x" + " " * 200_000 + "y"]  # a long inner run must not be slow
+    assert column(spark, values, T.strip) == [v.strip() for v in values]
+    assert column(spark, values, T.is_blank) == [not v.strip() for v in values]
+    assert column(spark, [None], T.is_blank) == [True]
+
+
+def test_sanitized_ids_hold_no_separators(spark):
+    values = ["a/b\\c:d", "plain", "//", "ü:ö"]
+    assert column(spark, values, T.sanitize_id) == ["a_b_c_d", "plain", "__", "ü_ö"]
+
+
+def test_paths_join_the_root_unless_absolute(spark):
+    values = ["keep\\ru\\a.wav", "/abs/a.wav", "C:\\x\\a.wav", "\\srv\\a.wav", "C:rel"]
+    assert column(spark, values, lambda c: T.resolve_path(c, "D:\\root\\")) == [
+        "D:/root/keep/ru/a.wav", "/abs/a.wav", "C:/x/a.wav", "/srv/a.wav", "D:/root/C:rel"]
+
+
+def test_error_repr_matches_python(spark):
+    values = ["plain", "it's", 'say "x"', "both ' and \"", "line\nbreak\t\\end\r", "", "мир"]
+    shown = column(spark, values, lambda c: T.error_repr(F.lit("ValueError"), c))
+    assert shown == [repr(ValueError(v)) for v in values]
+    assert column(spark, [None], lambda c: T.debug_status(c)) == ["ok"]
+
+
+def test_codes_previews_and_lines(spark):
+    assert column(spark, ["ru", "xx"], lambda c: T.lang_code(c, {"ru": "RUS"})) == ["RUS", "XX"]
+    assert column(spark, ["𝄞" * 100], T.preview) == ["𝄞" * 80]
+    assert column(spark, ["a"], T.text_line) == ["a\n"]
+    assert column(spark, ["ruen"], T.source_lang) == ["ru"]
+    assert column(spark, ["ruen"], T.target_lang) == ["en"]
+
+
+def slow_edits(left, right):
+    left, right = left.split(), right.split()
+    row = list(range(len(right) + 1))
+    for i, word in enumerate(left, 1):
+        above, row = row, [i]
+        for j, other in enumerate(right, 1):
+            row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (word != other)))
+    return row[-1]
+
+
+words = st.lists(st.sampled_from("abcd"), max_size=14).map(" ".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(words, words)
+def test_word_edits_equal_the_textbook_distance(left, right):
+    assert T.word_edits(left, right) == slow_edits(left, right)
+
+
+def test_compare_transcripts(spark):
+    df = spark.createDataFrame([(" a b c ", "a b c"), ("a b c", "a x c d"), ("", "a"), (None, None)],
+                               "text string, src_text string")
+    rows = T.compare_transcripts(df).collect()
+    assert [(r.exact_match, r.ref_words, r.word_edits, r.word_error_rate) for r in rows] == [
+        (True, 3, 0, 0.0), (False, 3, 2, 2 / 3), (False, 0, 1, None), (True, 0, 0, None)]
