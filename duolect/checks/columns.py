@@ -92,12 +92,12 @@ def text_lengths(spark, sf):
 
 
 @check("durations", f"""WITH {DIRTY}
-SELECT row_no, round(coalesce(duration_s, strlen(spoken) / 16000.0), 6) AS src_duration_s,
+SELECT row_no, round(coalesce(duration_s, strlen(spoken) / 16000.0), 9) AS src_duration_s,
        round(96.0 * length(spoken) / 24000.0, 6) AS tgt_duration_s FROM dirty""")
 def durations(spark, sf):
     return manifest_dirty(spark, sf).select(
         "row_no",
-        F.round(meta.source_duration(F.col("duration_s"), F.octet_length("spoken"), F.lit(16000)), 6)
+        F.round(meta.source_duration(F.col("duration_s"), F.octet_length("spoken"), F.lit(16000)), 9)
         .alias("src_duration_s"),
         F.round(meta.target_duration(96 * F.length("spoken")), 6).alias("tgt_duration_s"))
 
@@ -212,8 +212,9 @@ SELECT row_no,
                         CASE WHEN length(spoken) // 100 < 5 THEN 'short_tokens' END], lambda f: f IS NOT NULL), ',') AS flags
 FROM dirty""")
 def quality_flags(spark, sf):
-    book = F.sequence(F.lit(0), F.length("spoken") - 1).cast("array<bigint>")
-    frames = F.slice(book, 1, F.floor(F.length("spoken") / 100).cast("int"))
+    size = F.floor(F.length("spoken") / 100)
+    frames = F.when(size > 0, F.sequence(F.lit(1).cast("bigint"), size)).otherwise(
+        F.array().cast("array<bigint>"))
     flags = meta.quality_flags(F.col("text"), F.col("spoken"), F.array(frames, frames), 5)
     return manifest_dirty(spark, sf).select("row_no", F.array_join(flags, ",").alias("flags"))
 

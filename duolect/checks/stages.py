@@ -96,7 +96,7 @@ SELECT vec_id, n_out AS n_samples, round(sum((i + 1) * CAST(CAST(y AS FLOAT) AS
        round(sum(pow(CAST(CAST(y AS FLOAT) AS DOUBLE), 2)), 4) AS energy
 FROM wave16 GROUP BY vec_id, n_out""")
 def resample(spark, sf):
-    rows = decode_clips(vector_clips(spark, sf), target_rate=SOURCE_RATE)
+    rows = decode_clips(I.spread(vector_clips(spark, sf), None, "vec_id"), target_rate=SOURCE_RATE)
     total = lambda f: F.aggregate(F.transform("samples", f), F.lit(0.0), lambda a, v: a + v)
     return rows.select(
         "vec_id", "n_samples",
@@ -161,8 +161,8 @@ def _ramp(i):
 
 
 def _texts(spark, sf):
-    return manifest_view(spark, sf).select(
-        "row_no", "text", F.octet_length("text").alias("prompt"))
+    rows = manifest_view(spark, sf).select("row_no", "text", F.octet_length("text").alias("prompt"))
+    return I.spread(rows, None, "row_no")
 
 
 @check("synthesize", f"""WITH {VIEW}

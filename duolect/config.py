@@ -26,6 +26,7 @@ class JobConfig:
     manifests: Mapping[str, str] = field(default_factory=dict)
     debug_manifest: str | None = None
     languages: tuple[str, ...] = ("ru", "en")
+    synth_codes: tuple[tuple[str, str], ...] = (("ru", "RU"), ("en", "EN"))
     min_duration: float = 0.0
     max_duration: float = 1e9
     tiers: tuple[str, ...] | None = None

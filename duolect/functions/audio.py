@@ -38,7 +38,7 @@ def decode_wav(content: bytes) -> tuple[np.ndarray, int]:
 
 def encode_wav(samples: np.ndarray, rate: int) -> bytes:
     """Float samples, ``[frame]`` or ``[frame, channel]``, as 16-bit PCM WAV bytes."""
-    frames = np.atleast_2d(np.asarray(samples, np.float64).T).T
+    frames = np.atleast_2d(np.asarray(samples).T).T
     pcm = np.clip(np.rint(frames * 32768.0), -32768, 32767).astype("<i2")
     buffer = io.BytesIO()
     with wave.open(buffer, "wb") as clip:
@@ -79,10 +79,15 @@ def resample(samples: np.ndarray, rate: int, target: int) -> np.ndarray:
     padded = np.zeros(frames * old + old + 2 * reach + 2)
     padded[reach:reach + samples.size] = samples
     out = np.empty((frames, new))
-    for phase in range(new):
-        begin = first[phase] + reach
-        windows = np.lib.stride_tricks.sliding_window_view(padded[begin:], taps.shape[1])
-        out[:, phase] = windows[::old][:frames] @ taps[phase]
+    begin, width = first + reach, np.arange(taps.shape[1])
+    if frames < new:  # short clip or many phases: all phases of a frame at once
+        for frame in range(frames):
+            windows = padded[frame * old + begin[:, None] + width]
+            out[frame] = np.einsum("pt,pt->p", windows, taps)
+    else:
+        for phase in range(new):
+            windows = np.lib.stride_tricks.sliding_window_view(padded[begin[phase]:], width.size)
+            out[:, phase] = windows[::old][:frames] @ taps[phase]
     return out.ravel()[:length]
 
 

@@ -18,14 +18,14 @@ BAD_PAIR = "Unsupported language pair: "
 # Fixed value: characters an identifier may not keep, each replaced by "_".
 UNSAFE_ID_CHARS = "/\\:"
 
-# Python's notion of whitespace; the look-behind and the possessive quantifiers
-# keep the match linear on long inner runs of blanks.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]++|(?<![\s\x1c-\x1f])[\s\x1c-\x1f]++\z"
+# Python's notion of whitespace: all of Unicode's plus U+001C..U+001F.
+WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_WORD_GAP = r"(?U)[\s\x1c-\x1f]++"
 
 
 def strip(text: Column) -> Column:
     """Trim all Unicode whitespace plus U+001C..U+001F from both ends."""
-    return F.regexp_replace(text, _EDGE_SPACE, "")
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def is_blank(text: Column) -> Column:
@@ -140,16 +140,14 @@ def _word_edits(reference: pd.Series, hypothesis: pd.Series) -> pd.Series:
 
 def compare_transcripts(df: DataFrame, reference: str = "text", hypothesis: str = "src_text") -> DataFrame:
     """Exact-match flag, word edits and word error rate of a transcript against
-    the manifest text. Equal transcripts never reach Python."""
-    ref, hyp = F.coalesce(F.col(reference), F.lit("")), F.coalesce(F.col(hypothesis), F.lit(""))
-    same = strip(ref) == strip(hyp)
-    flagged = df.withColumn("exact_match", same)
-    # a null pair keeps the batch aligned while costing no comparison
-    edits = _word_edits(F.when(F.col("exact_match"), "").otherwise(ref),
-                        F.when(F.col("exact_match"), "").otherwise(hyp))
-    words = F.size(F.split(strip(ref), r"(?U)[\s\x1c-\x1f]++"))
+    the manifest text. Equal transcripts are settled before Python sees them."""
+    ref, hyp = (strip(F.coalesce(F.col(c), F.lit(""))) for c in (reference, hypothesis))
+    flagged = df.withColumn("exact_match", ref == hyp)
+    # empty strings keep the batches aligned and cost no comparison
+    edits = _word_edits(F.when(~F.col("exact_match"), ref).otherwise(""),
+                        F.when(~F.col("exact_match"), hyp).otherwise(""))
     return flagged.withColumns({
-        "ref_words": F.when(strip(ref) == "", 0).otherwise(words),
+        "ref_words": F.when(ref == "", 0).otherwise(F.regexp_count(ref, F.lit(_WORD_GAP)) + 1),
         "word_edits": edits,
     }).withColumn("word_error_rate", F.when(F.col("ref_words") > 0,
                                             F.col("word_edits") / F.col("ref_words")))

@@ -15,6 +15,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -73,12 +74,14 @@ def _describe(problem: Exception) -> dict[str, str]:
 
 def infer_map(df: DataFrame, apply: Callable[[Any, dict], dict], inputs: Sequence[str],
               outputs: str, teachers: Teachers | None = None, drop: Sequence[str] = (),
-              apply_many: Callable[[Any, list[dict]], list[dict]] | None = None) -> DataFrame:
+              apply_many: Callable[[Any, list[dict]], list[dict]] | None = None,
+              profile: ResourceProfile | None = None) -> DataFrame:
     """Add ``outputs`` (a DDL string) by calling ``apply(teachers, row)`` on each row.
 
     ``row`` holds the ``inputs`` columns. ``apply_many`` may handle a chunk in one
     call; should it raise, the chunk is redone row by row to find the culprit. Rows
-    already in error are passed on without a call.
+    already in error are passed on without a call. ``profile`` asks the cluster for
+    the resources of this stage, such as one GPU per task.
     """
     errors = "error_kind string, error_msg string, error string"
     added = StructType.fromDDL(f"{outputs}, {errors}")
@@ -116,7 +119,7 @@ def infer_map(df: DataFrame, apply: Callable[[Any, dict], dict], inputs: Sequenc
                 columns += [pa.array([r.get(f.name) for r in before], type=f.type) for f in arrow]
                 yield pa.RecordBatch.from_arrays(columns, kept + arrow.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema, profile=profile)
 
 
 def spread(df: DataFrame, partitions: int | None, *keys: str) -> DataFrame:
@@ -182,7 +185,8 @@ def tokenize(teachers: Teachers, waveform: np.ndarray, rate: int, bandwidth: flo
 
 
 def translate_texts(df: DataFrame, teachers: Teachers, languages: Sequence[str],
-                    text: str = "src_text", partitions: int | None = None) -> DataFrame:
+                    text: str = "src_text", partitions: int | None = None,
+                    profile: ResourceProfile | None = None) -> DataFrame:
     """Add ``tgt_text``: blank text gives ``""`` without a call, every distinct text
     of a language pair is translated once, and unknown pairs are error rows.
 
@@ -210,7 +214,8 @@ def translate_texts(df: DataFrame, teachers: Teachers, languages: Sequence[str],
                 done[i] = {"_tgt": out.strip()}
         return done
 
-    translated = (infer_map(spread(distinct, partitions, *pair), one, pair, "_tgt string", teachers, apply_many=many)
+    translated = (infer_map(spread(distinct, partitions, *pair), one, pair, "_tgt string", teachers,
+                            apply_many=many, profile=profile)
                   .withColumnsRenamed({c: f"_{c}" for c in ERROR_COLUMNS}))
     earlier = F.col("error_kind").isNotNull()
     found = {c: F.when(earlier, F.col(c)).otherwise(F.col(f"_{c}")) for c in ERROR_COLUMNS}
