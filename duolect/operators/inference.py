@@ -26,8 +26,9 @@ from duolect.functions import text as T
 from duolect.functions.audio import resample
 from duolect.operators.guards import ERROR_COLUMNS, apply_guards, lang_pair_known
 
-# Rows handed back at a time: audio outputs are large, so batches stay small.
-CHUNK_ROWS = 16
+# Rows handled and handed back at a time: audio is large, so its chunks stay small.
+AUDIO_ROWS = 16
+TEXT_ROWS = 256
 
 _LOADED: dict[tuple[str, str], Any] = {}
 
@@ -75,7 +76,7 @@ def _describe(problem: Exception) -> dict[str, str]:
 def infer_map(df: DataFrame, apply: Callable[[Any, dict], dict], inputs: Sequence[str],
               outputs: str, teachers: Teachers | None = None, drop: Sequence[str] = (),
               apply_many: Callable[[Any, list[dict]], list[dict]] | None = None,
-              profile: ResourceProfile | None = None) -> DataFrame:
+              profile: ResourceProfile | None = None, chunk_rows: int = AUDIO_ROWS) -> DataFrame:
     """Add ``outputs`` (a DDL string) by calling ``apply(teachers, row)`` on each row.
 
     ``row`` holds the ``inputs`` columns. ``apply_many`` may handle a chunk in one
@@ -108,8 +109,8 @@ def infer_map(df: DataFrame, apply: Callable[[Any, dict], dict], inputs: Sequenc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, CHUNK_ROWS):
-                chunk = whole.slice(at, CHUNK_ROWS)
+            for at in range(0, whole.num_rows, chunk_rows):
+                chunk = whole.slice(at, chunk_rows)
                 rows = chunk.select(list(inputs)).to_pylist()
                 before = chunk.select(carried).to_pylist()
                 good = [i for i, seen in enumerate(before) if seen["error_kind"] is None]
@@ -215,7 +216,7 @@ def translate_texts(df: DataFrame, teachers: Teachers, languages: Sequence[str],
         return done
 
     translated = (infer_map(spread(distinct, partitions, *pair), one, pair, "_tgt string", teachers,
-                            apply_many=many, profile=profile)
+                            apply_many=many, profile=profile, chunk_rows=TEXT_ROWS)
                   .withColumnsRenamed({c: f"_{c}" for c in ERROR_COLUMNS}))
     earlier = F.col("error_kind").isNotNull()
     found = {c: F.when(earlier, F.col(c)).otherwise(F.col(f"_{c}")) for c in ERROR_COLUMNS}
@@ -227,5 +228,5 @@ def translate_texts(df: DataFrame, teachers: Teachers, languages: Sequence[str],
 def isolate_rows(df: DataFrame, apply: Callable[[dict], Any], inputs: Sequence[str],
                  outputs: str) -> DataFrame:
     """Run a plain per-row function under the same isolation and set ``status``."""
-    mapped = infer_map(df, lambda _, row: apply(row), inputs, outputs)
+    mapped = infer_map(df, lambda _, row: apply(row), inputs, outputs, chunk_rows=TEXT_ROWS)
     return mapped.withColumn("status", F.when(F.col("error_kind").isNull(), "ok").otherwise("error"))
