@@ -209,7 +209,8 @@ def guard_duration_mismatch(spark, sf):
 @check("quality_flags", f"""WITH {DIRTY}
 SELECT row_no,
        array_to_string(list_filter([CASE WHEN coalesce(length(text), 0) = 0 THEN 'empty_text' END,
-                        CASE WHEN length(spoken) // 100 < 5 THEN 'short_tokens' END], lambda f: f IS NOT NULL), ',') AS flags
+                        CASE WHEN length(spoken) // 100 < 5 THEN 'short_tokens' END],
+                        lambda f: f IS NOT NULL), ',') AS flags
 FROM dirty""")
 def quality_flags(spark, sf):
     size = F.floor(F.length("spoken") / 100)
@@ -255,9 +256,11 @@ def text_compare(spark, sf):
                        F.round("word_error_rate", 6).alias("word_error_rate"))
 
 
-@check("cast_arrays", """SELECT vec_id, round(list_sum(list_transform(embedding, lambda v:          CAST(CAST(CAST(v AS DOUBLE) * 3 AS FLOAT) AS DOUBLE))), 4) AS float_sum,
-       CAST(list_sum(list_transform(embedding, lambda v: CAST(trunc(CAST(v AS DOUBLE) * 1000) AS BIGINT))) * 2 AS BIGINT)
-         AS token_sum, 2 AS n_books, len(embedding) AS n_frames FROM embeddings""")
+@check("cast_arrays", """SELECT vec_id,
+       round(list_sum(list_transform(embedding, lambda v:
+         CAST(CAST(CAST(v AS DOUBLE) * 3 AS FLOAT) AS DOUBLE))), 4) AS float_sum,
+       CAST(2 * list_sum(list_transform(embedding, lambda v:
+         CAST(trunc(CAST(v AS DOUBLE) * 1000) AS BIGINT))) AS BIGINT) AS token_sum, 2 AS n_books, len(embedding) AS n_frames FROM embeddings""")
 def cast_arrays(spark, sf):
     tripled = F.transform("embedding", lambda v: v.cast("double") * 3)
     codes = F.transform("embedding", lambda v: v.cast("double") * 1000)

@@ -116,7 +116,8 @@ def _summarised(spark, sf):
 _SUMMARY = f"""SELECT CASE status WHEN 'error' THEN raw_id ELSE sample_id END AS id,
        CASE status WHEN 'ok' THEN resolved_path ELSE audio_path END AS audio_path,
        CASE status WHEN 'ok' THEN 'en' END AS src_lang, CASE status WHEN 'ok' THEN 'fr' END AS tgt_lang,
-       CASE status WHEN 'ok' THEN md5(src_text) END AS src_text, CASE status WHEN 'ok' THEN md5(tgt_text) END AS tgt_text,
+       CASE status WHEN 'ok' THEN md5(src_text) END AS src_text,
+       CASE status WHEN 'ok' THEN md5(tgt_text) END AS tgt_text,
        CASE status WHEN 'ok' THEN round(duration_s, 6) END AS src_duration_s,
        CASE status WHEN 'ok' THEN CAST(1.5 AS DOUBLE) END AS tgt_duration_s,
        CASE status WHEN 'error' THEN 'error: ' || error ELSE status END AS status,

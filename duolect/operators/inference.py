@@ -35,13 +35,13 @@ _LOADED: dict[tuple[str, str], Any] = {}
 
 @dataclass(frozen=True)
 class Teachers:
-    """Factories of the five models. ``asr`` is only needed when transcripts do not
-    come from the manifest."""
+    """Factories of the models. ``asr`` is only needed when transcripts do not come from
+    the manifest, ``translator`` and ``speaker`` not where their output is precomputed."""
 
-    translator: Callable[[], Any]
-    speaker: Callable[[], Any]
-    synthesizer: Callable[[], Any]
-    tokenizer: Callable[[], Any]
+    translator: Callable[[], Any] | None
+    speaker: Callable[[], Any] | None
+    synthesizer: Callable[[], Any] | None
+    tokenizer: Callable[[], Any] | None
     asr: Callable[[], Any] | None = None
     token: str = field(default_factory=lambda: uuid.uuid4().hex)
 
@@ -52,6 +52,8 @@ class Teachers:
             factory = getattr(self, stage)
             if factory is None:
                 raise ValueError(f"no factory configured for stage {stage!r}")
+            for old in [k for k in _LOADED if k[0] != self.token]:
+                del _LOADED[old]  # models of an earlier job would hold the device's memory
             _LOADED[key] = factory()
         return _LOADED[key]
 
