@@ -10,7 +10,7 @@ from duolect.checks.registry import check
 from duolect.functions import text as T
 from duolect.operators import attach, outcomes, resume
 from duolect.plans.build import to_outcome
-from duolect.session import workspace
+from duolect.session import materialize, workspace
 from duolect.sinks import tables
 from duolect.sources.done import done_keys, read_outcomes
 
@@ -145,7 +145,7 @@ def debug_summary(spark, sf):
 
 @check("union_shards", f"WITH {OUTCOMES} SELECT row_no, shard, status FROM outcomes")
 def union_shards(spark, sf):
-    settled = dirty_outcomes(spark, sf).select("row_no", "shard", "status")
+    settled = materialize(dirty_outcomes(spark, sf).select("row_no", "shard", "status"), "shards")
     return outcomes.union_shards([settled.where(F.col("shard") == i) for i in range(SHARDS)])
 
 
@@ -168,6 +168,7 @@ def split_layout(spark, sf):
     rows = dirty_outcomes(spark, sf).withColumns({
         "tokens": F.when(F.length("tgt_text") > 0, F.array(book)),
         "spk": F.array(F.lit(1.0)).cast("array<float>")})
+    rows = materialize(rows.select("direction", "src_lang", "sample_id", "tokens", "spk", "status"), "rows")
     tables.write_split_layout(*outcomes.split_layout(rows), cfg)
     tokens = spark.read.parquet(f"{cfg.output_root}/tokens").select(
         F.lit("tokens").alias("layout"), F.col("direction").alias("part"), "sample_id",

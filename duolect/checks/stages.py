@@ -264,7 +264,8 @@ def write_parallel(spark, sf):
 
 
 @check("rerun_ledger", f"""WITH {_BUILT}
-SELECT id AS raw_id, kind AS error_kind, CASE WHEN first_ok IS NULL THEN 2 ELSE 1 END AS times FROM settled WHERE status = 'error'""")
+SELECT id AS raw_id, kind AS error_kind, CASE WHEN first_ok IS NULL THEN 2 ELSE 1 END AS times
+FROM settled WHERE status = 'error'""")
 def rerun_ledger(spark, sf):
     """A second run retries the failures whose key has no success yet, and the ledger
     keeps both entries."""

@@ -42,6 +42,8 @@ class JobConfig:
     inference_partitions: int | None = None
 
     def __post_init__(self) -> None:
+        if any(len(code) != 2 for code in self.languages):
+            raise ValueError("languages are two-letter codes")
         if self.lang not in self.languages:
             raise ValueError(f"lang {self.lang!r} is not one of {self.languages}")
         known = {a + b for a in self.languages for b in self.languages if a != b}

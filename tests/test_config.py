@@ -23,7 +23,7 @@ def test_settings_mapping_is_read():
 
 
 @pytest.mark.parametrize("changes", [
-    {"lang": "en"}, {"lang": "de"}, {"direction": "rude"}, {"direction": "ruru"},
+    {"lang": "en"}, {"lang": "de"}, {"languages": ("ru", "eng")}, {"direction": "rude"}, {"direction": "ruru"},
     {"num_shards": 2, "shard_idx": 2}, {"num_shards": 2, "shard_idx": -1}, {"max_samples": -1}])
 def test_bad_settings_are_refused(changes):
     with pytest.raises(ValueError):
