@@ -39,10 +39,10 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
+def materialize(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: later steps start from
     stored rows, so a lost executor never sends them back through this lineage."""
     spark = df.sparkSession
     path = workspace(spark, purpose)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
