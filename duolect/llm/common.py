@@ -58,8 +58,8 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int,
     ``size`` is the column of ``groups`` with the key's number of rows and ``total`` the
     number of all rows. At most ``HEAVY_SHARE`` keys have more than one row in
     ``HEAVY_SHARE``; these are broadcast, and their rows are dealt out by ``spread`` in
-    the shuffled join, where they match nothing. Keys are strings. The columns of
-    ``groups`` besides the key come back in a struct ``found``, null without a match.
+    the shuffled join, where they match nothing. Keys are strings or binary. The columns
+    of ``groups`` besides the key come back in a struct ``found``, null without a match.
     """
     values = F.struct(*[c for c in groups.columns if c != key])
     heavy = F.broadcast(groups.where(F.col(size) > max(total // HEAVY_SHARE, 1))
@@ -68,7 +68,7 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int,
              .select(F.col(key).alias("_light_key"), values.alias("_light")))
     seen = rows.join(heavy, F.col(key) == F.col("_heavy_key"), "left")
     dealt = F.when(F.col("_heavy_key").isNull(), F.col(key)).otherwise(
-        F.concat(F.lit("heavy "), F.xxhash64(*spread).cast("string")))
+        F.concat(F.lit("heavy "), F.xxhash64(*spread).cast("string")).cast(rows.schema[key].dataType))
     seen = seen.withColumn("_deal", dealt)
     return (seen.join(light, F.col("_deal") == F.col("_light_key"), "left")
             .select(*rows.columns, F.coalesce("_heavy", "_light").alias("found")))

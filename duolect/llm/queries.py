@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from duolect.llm import exact_dedup as exact
+from duolect.llm import line_dedup, packing, simhash
 from duolect.llm.common import table
 from duolect.session import ship_package
 
@@ -41,3 +43,20 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id,
 FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents")).drop("copies")
+
+
+@_add("op3_line_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return rest.select("doc_id", "text", "removed")
+
+
+@_add("op6_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), path, end_id=1)
+
+
+@_add("op9_simhash")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
