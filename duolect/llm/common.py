@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -18,6 +19,20 @@ SALT_ROWS = 4096
 # Bytes of an Arrow batch on its way to a Python worker.
 BATCH_BYTES = 4 << 20
 
+# Characters of a long text handled at a time.
+SLAB = 1 << 20
+ANY_SPACE = re.compile(r"\s")
+
+
+def slabs(text: str, size: int = SLAB) -> Iterator[str]:
+    """The text in slabs of about ``size`` characters, each cut before white space."""
+    at = 0
+    while at < len(text):
+        space = ANY_SPACE.search(text, at + size)
+        end = space.start() if space else len(text)
+        yield text[at:end]
+        at = end
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,6 +56,16 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def boxed(docs: DataFrame, *more: Column) -> DataFrame:
+    """The rows of ``docs`` as one struct ``row``, and other columns whose names then clash with none of theirs."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *more)
+
+
+def unboxed(rows: DataFrame, docs: DataFrame, **new: Column) -> DataFrame:
+    """The columns of ``docs`` again, some of them replaced."""
+    return rows.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
 def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Keep Arrow batches small from now on, so that long texts do not add up in a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duolect.llm.common import SALT_ROWS, SPACES, attach, same, settings, whole
+from duolect.llm.common import SALT_ROWS, SPACES, attach, boxed, same, settings, unboxed, whole
 from duolect.session import materialize, workspace
 
 STATE_SETTINGS = {
@@ -144,15 +144,14 @@ def _separate(rows: DataFrame, differ: DataFrame, content: DataFrame) -> DataFra
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents that stay, one row each, with all columns of ``docs``."""
     found = materialize(exact_dedup(docs), "dedup-result")
-    marked = docs.withColumn("_digest", text_digest("text"))
-    names = {"doc_id": "_gone_id", "text_sha256": "_gone_digest"}
-    where = same(F.col("doc_id"), F.col("_gone_id")) & (F.col("_digest") == F.col("_gone_digest"))
+    marked = boxed(docs, F.col("doc_id"), text_digest("text").alias("digest"))
+    where = same(F.col("doc_id"), F.col("gone_id")) & (F.col("digest") == F.col("gone_digest"))
 
     def pick(condition: str) -> DataFrame:
-        return found.where(condition).select(*names).withColumnsRenamed(names)
+        return found.where(condition).select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_digest"))
 
     kept = marked.join(pick("not kept or copies > 1"), where, "left_anti")
     if not found.where("kept and copies > 1").isEmpty():
         repeated = marked.join(pick("kept and copies > 1"), where, "left_semi")
-        kept = kept.unionByName(repeated.dropDuplicates(["doc_id", "_digest"]))
-    return kept.drop("_digest")
+        kept = kept.unionByName(repeated.dropDuplicates(["doc_id", "digest"]))
+    return unboxed(kept, docs)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duolect.llm.common import attach, bound_batches, same, whole
+from duolect.llm.common import SPACES, attach, bound_batches, boxed, same, unboxed, whole
 from duolect.session import materialize
 
 MIN_WORDS = 8
@@ -97,35 +97,35 @@ def cut(text: str, starts: list[int], stops: list[int]) -> str:
     return "".join(text[a:b] for a, b in kept)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, spans: str = "removed") -> DataFrame:
-    """All columns of ``docs`` with repeated units cut from ``text``, and what was cut.
-
-    ``removed`` (named by ``spans``, so that it need not clash) is an array of start and
-    stop in the original text, empty where nothing was cut; such texts come out as they
-    are. Null texts stay null, and texts of fewer than ``min_words`` words are never cut.
-    Rows that repeat both id and text are cut alike and come out as often as they come in.
-    """
-    found = materialize(repeated_spans(docs, min_words), "lines-spans").withColumnsRenamed(
-        {"doc_id": "_doc", "text_hash": "_hash", "starts": "_starts", "stops": "_stops"})
-    joined = (docs.withColumn("_own", _text_hash())
-              .join(found, same(F.col("doc_id").cast("long"), F.col("_doc")) & (F.col("_own") == F.col("_hash")), "left")
-              .select(*docs.columns, "_starts", "_stops"))
-    place = docs.columns.index("text")
-    names = [*docs.columns, "_starts", "_stops"]
+def _cut_rows(docs: DataFrame, min_words: int) -> DataFrame:
+    """The rows of ``docs`` in a struct ``row``, the text that is left, and ``starts`` and ``stops`` of what was cut."""
+    found = materialize(repeated_spans(docs, min_words), "lines-spans").withColumnsRenamed({"doc_id": "doc", "text_hash": "hash"})
+    joined = (boxed(docs, F.col("doc_id").cast("long").alias("own_id"), _text_hash().alias("own_hash"))
+              .join(found, same(F.col("own_id"), F.col("doc")) & (F.col("own_hash") == F.col("hash")), "left")
+              .select("row", F.col("row.text").alias("rest"), "starts", "stops"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = batch.columns
-            starts, stops = columns[-2].to_pylist(), columns[-1].to_pylist()
+            row, rest, starts, stops = batch.columns
             texts = [text if a is None or text is None else cut(text, a, b)
-                     for text, a, b in zip(columns[place].to_pylist(), starts, stops, strict=True)]
-            columns[place] = pa.array(texts, columns[place].type)
-            yield pa.RecordBatch.from_arrays(columns, names)
+                     for text, a, b in zip(rest.to_pylist(), starts.to_pylist(), stops.to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([row, pa.array(texts, rest.type), starts, stops], batch.schema.names)
+
+    return joined.mapInArrow(run, joined.schema)
 
-    none = F.array().cast("array<struct<start:int,stop:int>>")
-    pairs = F.arrays_zip(F.col("_starts").alias("start"), F.col("_stops").alias("stop")).cast("array<struct<start:int,stop:int>>")
-    return (joined.mapInArrow(run, joined.schema)
-            .select(*docs.columns, F.coalesce(pairs, none).alias(spans)))
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, text and removed of every row: the text without its repeated units, and what was cut.
+
+    ``removed`` is an array of start and stop in the original text, empty where nothing
+    was cut; such texts come out as they are. Null texts stay null, and texts of fewer
+    than ``min_words`` words are never cut. Rows that repeat both id and text are cut
+    alike and come out as often as they come in. Other columns are not read.
+    """
+    kind = "array<struct<start:int,stop:int>>"
+    spans = F.arrays_zip(F.col("starts").alias("start"), F.col("stops").alias("stop")).cast(kind)
+    return _cut_rows(docs.select("doc_id", "text"), min_words).select(
+        F.col("row.doc_id").alias("doc_id"), F.col("rest").alias("text"), F.coalesce(spans, F.array().cast(kind)).alias("removed"))
 
 
 def keep_rest(docs: DataFrame) -> DataFrame:
@@ -133,6 +133,6 @@ def keep_rest(docs: DataFrame) -> DataFrame:
 
     Documents of which nothing but white space is left go; those without text before stay.
     """
-    rest = dedup_lines(docs, spans="_removed")
-    emptied = (F.size("_removed") > 0) & (F.length(F.trim(F.translate(whole("text"), "\t\n\x0b\x0c\r", " "))) == 0)
-    return rest.where(~emptied).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    rest = _cut_rows(docs, MIN_WORDS)
+    emptied = F.col("starts").isNotNull() & (F.length(F.translate(whole("rest"), SPACES, "")) == 0)
+    return unboxed(rest.where(~emptied), docs, text=F.col("rest"), n_chars=F.length("rest").cast("long"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duolect.llm.common import bound_batches, whole
+from duolect.llm.common import bound_batches, slabs, whole
 from duolect.session import materialize
 
 WINDOW = 2048
@@ -25,12 +25,10 @@ WINDOW = 2048
 GROUP_PIECES = 1 << 16
 # Distinct words whose ids a worker remembers.
 KNOWN_WORDS = 400_000
-SLAB = 1 << 20  # characters split into words at a time
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACES = PIECES + ", sequence_id long, offset long"
 # Python splits at these four; the tokenizer does not count them as white space.
 ODD_SPACES = re.compile("[\x1c-\x1f]")
-ANY_SPACE = re.compile(r"\s")
 
 _TOKENIZERS: dict[str, WordIds] = {}
 
@@ -61,17 +59,13 @@ class WordIds:
         return b"".join(self._slabs(text))
 
     def _slabs(self, text: str) -> Iterator[bytes]:
-        at = 0
-        while at < len(text):
-            space = ANY_SPACE.search(text, at + SLAB)
-            end = space.start() if space else len(text)
-            words = text[at:end].split()
+        for part in slabs(text):
+            words = part.split()
             if missing := set(words) - self.known.keys():
                 self._learn(list(missing))
                 if not self.known.keys() >= set(words):  # forgotten while learning
                     self._learn(list(set(words) - self.known.keys()))
             yield b"".join(map(self.known.__getitem__, words))
-            at = end
 
 
 def _packed(ids: list[int]) -> bytes:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from duolect.llm import exact_dedup as exact
-from duolect.llm import line_dedup, packing, simhash
+from duolect.llm import language_id, line_dedup, packing, simhash, syncmers, warc
 from duolect.llm.common import table
 from duolect.session import ship_package
 
@@ -51,12 +51,35 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rest.select("doc_id", "text", "removed")
 
 
+@_add("op4_syncmers")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compare_edits(table(spark, sf_dir, "documents"))
+
+
 @_add("op6_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path, end_id=1)
 
 
+@_add("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict_languages(table(spark, sf_dir, "documents"))
+
+
 @_add("op9_simhash")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_add("op10_warc", """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
+m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY html) AS largest FROM p)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN largest END AS refers_to
+FROM m""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duolect.llm.common import attach, bound_batches, whole
+from duolect.llm.common import attach, bound_batches, boxed, unboxed, whole
 from duolect.llm.graph import components
 from duolect.session import materialize
 
@@ -208,11 +208,12 @@ def keep_one(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame:
     Rows without a doc_id stay; of rows that repeat a doc_id that stays, one is kept.
     """
     found = materialize(near_duplicates(docs, words, bits), "simhash-result")
-    gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "simhash-gone")
-    twice = materialize(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_gone")).count().where("count > 1")
-                        .select("_gone"), "simhash-twice")
-    where = F.col("doc_id") == F.col("_gone")
-    kept = docs.join(gone, where, "left_anti")
-    if twice.isEmpty():
-        return kept
-    return kept.join(twice, where, "left_anti").unionByName(kept.join(twice, where, "left_semi").dropDuplicates(["doc_id"]))
+    gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "simhash-gone")
+    twice = materialize(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("gone")).count().where("count > 1")
+                        .select("gone"), "simhash-twice")
+    where = F.col("doc_id") == F.col("gone")
+    kept = boxed(docs, F.col("doc_id")).join(gone, where, "left_anti")
+    if not twice.isEmpty():
+        once = kept.join(twice, where, "left_semi").dropDuplicates(["doc_id"])
+        kept = kept.join(twice, where, "left_anti").unionByName(once)
+    return unboxed(kept, docs)
