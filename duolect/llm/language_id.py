@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from duolect.llm.common import bound_batches, boxed, slabs, unboxed, whole
+from duolect.llm.labelled import held_out
 
+# Held out: documents whose crc32 of the id leaves this remainder.
+FOLDS, FOLD = 4, 2
 # N-grams in a profile, of one to three letters.
 PROFILE = 400
 UNKNOWN = "und"
@@ -125,11 +128,6 @@ class Nearest:
         return self.names[best], 1.0 - float(apart[best]) / (self.size * len(own))
 
 
-def held_out(folds: int = 4, fold: int = 2):
-    """Whether a row is kept out of learning; so is one without a doc_id."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds, F.lit(fold)) == fold
-
-
 def identify(rows: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
     """All columns of ``rows``, with ``lang_pred`` and ``score`` from its last one, the text.
 
@@ -151,7 +149,7 @@ def identify(rows: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
 
 
 def _learnt(docs: DataFrame) -> dict[str, np.ndarray]:
-    return learn(docs.select("doc_id", "lang", F.col("text").cast("string").alias("text")).where(~held_out()))
+    return learn(docs.select("doc_id", "lang", F.col("text").cast("string").alias("text")).where(~held_out(FOLDS, FOLD)))
 
 
 def predict_languages(docs: DataFrame) -> DataFrame:
@@ -160,7 +158,7 @@ def predict_languages(docs: DataFrame) -> DataFrame:
     Profiles are learnt from the documents that are not held out and have a language.
     An empty table gives no rows.
     """
-    return identify(docs.select("doc_id", held_out().alias("held_out"), F.col("text").cast("string").alias("text")), _learnt(docs))
+    return identify(docs.select("doc_id", held_out(FOLDS, FOLD).alias("held_out"), F.col("text").cast("string").alias("text")), _learnt(docs))
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:

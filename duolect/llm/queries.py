@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from duolect.llm import exact_dedup as exact
-from duolect.llm import language_id, line_dedup, packing, simhash, syncmers, warc
+from duolect.llm import language_id, line_dedup, packing, quality, simhash, syncmers, toxicity, warc
 from duolect.llm.common import table
 from duolect.session import ship_package
 
@@ -45,6 +45,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents")).drop("copies")
 
 
+@_add("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_add("op3_line_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
@@ -56,6 +61,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compare_edits(table(spark, sf_dir, "documents"))
 
 
+@_add("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_add("op6_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
