@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from duolect.llm import exact_dedup as exact
+from duolect.llm import pieces as sentencepieces
 from duolect.llm import language_id, line_dedup, packing, quality, simhash, syncmers, toxicity, warc
 from duolect.llm.common import table
 from duolect.session import ship_package
@@ -77,6 +79,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_languages(table(spark, sf_dir, "documents"))
 
 
+@_add("op8_sentencepiece")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentencepieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select("doc_id", "chunk", "chunks", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                          F.crc32("ids").alias("ids_crc32"), "restored")
+
+
 @_add("op9_simhash")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
