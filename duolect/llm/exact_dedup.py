@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duolect.llm.common import SALT_ROWS, SPACES, attach, boxed, same, settings, unboxed, whole
+from duolect.llm.common import FILTER_SETTINGS, SALT_ROWS, SPACES, attach, boxed, same, settings, unboxed, whole
 from duolect.session import materialize, workspace
 
 STATE_SETTINGS = {
@@ -24,12 +24,6 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
-# Text is only read again for documents that share a digest: a runtime filter on their ids keeps the others out of the shuffle.
-FILTER_SETTINGS = {
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
-    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
-}
 
 
 def squeezed(text: str | Column) -> Column:
@@ -106,7 +100,8 @@ def _shape(rows: DataFrame) -> DataFrame:
 def _compare(rows: DataFrame, texts: DataFrame, digest: Column) -> tuple[DataFrame, DataFrame]:
     """Compare the full bytes of every hit with the retained document's.
 
-    Returns the hits whose bytes differ, with their text, and the text of all hits. A
+    Returns the hits whose bytes differ, and the text of all hits; other documents' text
+    is kept out of the shuffle by a runtime filter on the ids. A
     group's retained text is repeated once for every ``SALT_ROWS`` of its rows, so that
     neither a hot group nor a long text meets in one task.
     """

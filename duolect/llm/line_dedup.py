@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duolect.llm.common import SPACES, attach, bound_batches, boxed, same, unboxed, whole
+from duolect.llm.common import FILTER_SETTINGS, SPACES, bound_batches, boxed, matched, same, settings, unboxed, whole
 from duolect.session import materialize
 
 MIN_WORDS = 8
@@ -84,7 +84,7 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "unit")
     first = materialize(rows.groupBy("key").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1"),
                         "lines-repeated")
-    found = attach(rows, first, "key", "size", total, ["doc_id", "unit"]).where("found is not null")
+    found = matched(rows, first, "key", "size", total)
     later = found.where(~(same(F.col("doc_id"), F.col("found.first.doc_id")) & (F.col("text_hash") == F.col("found.first.text_hash"))
                           & (F.col("unit") == F.col("found.first.unit"))))
     spans = later.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
@@ -99,7 +99,8 @@ def cut(text: str, starts: list[int], stops: list[int]) -> str:
 
 def _cut_rows(docs: DataFrame, min_words: int) -> DataFrame:
     """The rows of ``docs`` in a struct ``row``, the text that is left, and ``starts`` and ``stops`` of what was cut."""
-    found = materialize(repeated_spans(docs, min_words), "lines-spans").withColumnsRenamed({"doc_id": "doc", "text_hash": "hash"})
+    with settings(docs.sparkSession, FILTER_SETTINGS):
+        found = materialize(repeated_spans(docs, min_words), "lines-spans").withColumnsRenamed({"doc_id": "doc", "text_hash": "hash"})
     joined = (boxed(docs, F.col("doc_id").cast("long").alias("own_id"), _text_hash().alias("own_hash"))
               .join(found, same(F.col("own_id"), F.col("doc")) & (F.col("own_hash") == F.col("hash")), "left")
               .select("row", F.col("row.text").alias("rest"), "starts", "stops"))
