@@ -1,0 +1,53 @@
+import hashlib
+import re
+
+from pyspark.sql import functions as F
+
+from duolect.llm.exact_dedup import exact_dedup, keep_one
+
+
+def expected(rows):
+    """By doc_id and digest: what stays, how many rows there are, and how often the document occurs."""
+    groups = {}
+    for doc, text in rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", text or ""), []).append((doc, text or ""))
+    found = set()
+    for key, own in groups.items():
+        keep = min(own, key=lambda x: (-len(x[1]), x[0] is None, x[0] or 0))[0]
+        for doc, _ in own:
+            found.add((doc, keep, len(own), doc == keep, hashlib.sha256(key.encode()).hexdigest(), sum(d == doc for d, _ in own)))
+    return found
+
+
+def found(df):
+    return [tuple(r) for r in df.select("doc_id", "keep_id", "group_size", "kept", "text_sha256", "copies").collect()]
+
+
+def test_odd_rows(odd):
+    got = found(exact_dedup(odd))
+    want = expected([(r.doc_id, r.text) for r in odd.collect()])
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_many_batches_give_the_same(spark, make):
+    docs = make([(i, f"text {i % 7}" + " " * (i % 3)) for i in range(200)]).repartition(8)
+    assert set(found(exact_dedup(docs, files_per_batch=1))) == expected([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_texts_that_share_a_digest_are_told_apart(make):
+    docs = make([(i, f"text {i % 5}" + " " * (i % 2)) for i in range(40)] + [(3, "text 3 ")])
+    got = exact_dedup(docs, digest=F.lit("same")).select("doc_id", "keep_id", "group_size", "kept")
+    want = {(d, k, n, kept) for d, k, n, kept, _, _ in expected([(r.doc_id, r.text) for r in docs.collect()])}
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_empty_table(odd):
+    assert exact_dedup(odd.limit(0)).count() == 0
+    assert keep_one(odd.limit(0)).count() == 0
+
+
+def test_keep_one_returns_each_kept_document_once(odd):
+    kept = keep_one(odd)
+    assert kept.columns == odd.columns
+    want = expected([(r.doc_id, r.text) for r in odd.collect()])
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d, _, _, stays, _, _ in want if stays)

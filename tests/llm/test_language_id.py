@@ -1,0 +1,72 @@
+from collections import Counter
+
+import numpy as np
+
+from duolect.llm.language_id import GAP, Nearest, counted, keep_identified, learn, ngrams, predict_languages, ranked
+
+
+def plain(text):
+    """N-grams of a text as strings, gaps as a space."""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    run = f" {' '.join(words)} "
+    found = [c for c in run if c != " "]
+    found += [run[i:i + 2] for i in range(len(run) - 1) if run[i:i + 2].strip()]
+    return found + [run[i:i + 3] for i in range(len(run) - 2) if run[i + 1] != " "]
+
+
+def as_text(code):
+    points = [code >> 42 & 0x1FFFFF, code >> 21 & 0x1FFFFF, code & 0x1FFFFF]
+    return "".join(" " if p == GAP else chr(p) for p in points if p)
+
+
+def test_ngrams():
+    for text in ("", "  ", "a", "Ab, cd!  e", "12ab34", "日本 語", "Ünï-çødé", "x" * 10):
+        want = Counter(plain(text)) if any(c.isalpha() for c in text) else Counter()
+        assert Counter(map(as_text, ngrams(text).tolist())) == want, text
+
+
+def test_long_texts_are_counted_whole(monkeypatch):
+    text = "some words and others " * 50
+    whole = counted(text)
+    monkeypatch.setattr("duolect.llm.common.SLAB", 30)
+    parts = counted(text)
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+
+
+def test_profiles_count_every_text(spark, make):
+    docs = make([(i, f"word{chr(97 + i % 26)} thing", "en" if i % 3 else "fr") for i in range(60)] + [(99, None, "de"), (98, "x", None)])
+    want = {}
+    for r in docs.collect():
+        if r.lang is not None:
+            want.setdefault(r.lang, Counter()).update(ngrams(r.text or "").tolist())
+    got = learn(docs.repartition(5))
+    for lang, codes in got.items():
+        top = sorted(want[lang].items(), key=lambda x: (-x[1], x[0]))[:400]
+        assert codes.tolist() == [c for c, _ in top]
+    assert set(got) == {lang for lang, counts in want.items() if counts}
+
+
+def test_distance_is_out_of_place():
+    nearest = Nearest({"a": np.array([10, 20, 30]), "b": np.array([30, 20, 10])}, size=3)
+    own = ranked(np.array([10, 20, 40]), np.array([5, 3, 9]), 3)
+    assert own.tolist() == [40, 10, 20]
+    apart = {"a": 3 + 1 + 1, "b": 3 + 1 + 1}
+    assert apart["a"] == apart["b"]
+    assert Nearest({}, 3)("text") == ("und", 0.0)
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = predict_languages(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(rows) > 200 and sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.95
+
+
+def test_odd_rows(odd):
+    rows = predict_languages(odd).collect()
+    assert len(rows) == odd.count()
+    assert all(r.lang_pred == "und" and r.score == 0 for r in rows if r.doc_id in (0, 1, 2, 8))
+    assert all(r.lang_pred == "en" and 0 <= r.score <= 1 for r in rows if r.doc_id in (4, 5, 6))
+    assert all(r.held_out for r in rows if r.doc_id is None)
+    kept = keep_identified(odd)
+    assert kept.columns == odd.columns and {0, 1, 2, 8}.isdisjoint(r.doc_id for r in kept.collect())
+    assert predict_languages(odd.limit(0)).count() == 0

@@ -1,0 +1,55 @@
+import random
+
+from duolect.llm.quality import Model, blocks, dictionary, features, learn, score_quality
+
+
+def labelled(make, spark, n=400):
+    rng = random.Random(3)
+    good = ["the", "quiet", "river", "runs", "under", "old", "bridges", "towards", "towns"]
+    rows, marks = [], []
+    for i in range(n):
+        bad = i % 4 == 0
+        words = [rng.choice(good) + ("###" if bad else "") for _ in range(rng.randint(5, 120))]
+        rows.append((i, " ".join(words)))
+        marks.append((i, 0 if bad else 1, 0))
+    return make(rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+
+
+def test_blocks_hold_the_whole_text():
+    text = "é" * 5000
+    assert b"".join(blocks(text)).decode() == text and blocks("") == [b""]
+
+
+def test_dictionary_says_which_kind_a_text_is():
+    good, bad = [b"plain words of a text %d" % i * 9 for i in range(300)], [b"$$$ ### %d &&&" % i * 9 for i in range(300)]
+    compressors = Model(dictionary(bad), dictionary(good)).compressors()
+    assert features("plain words of a text", compressors)[1] > features("$$$ ### &&&", compressors)[1]
+    assert dictionary([b"ab"]) == b"ab"
+
+
+def test_held_out_documents_are_told_apart(spark, make):
+    docs, labels = labelled(make, spark)
+    rows = score_quality(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    assert len(rows) > 50 and sum(r.predicted == r.quality for r in rows) / len(rows) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+
+
+def test_real_table(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = score_quality(docs, labels).join(labels, "doc_id").where("held_out and quality is not null").collect()
+    assert sum(r.predicted == r.quality for r in rows) / len(rows) > 0.95
+
+
+def test_odd_rows_and_labels(spark, make, odd):
+    docs, labels = labelled(make, spark)
+    more = spark.createDataFrame([(None, 1, 0), (5, None, None), (0, 1, None), (0, 0, None), (10_000, 1, 1)], labels.schema)
+    rows = score_quality(docs.unionByName(odd), labels.unionByName(more)).collect()
+    assert len(rows) == docs.count() + odd.count() and all(r.score is not None for r in rows)
+    none = score_quality(odd, labels.limit(0)).collect()
+    assert {r.score for r in none} == {0.5} and {r.predicted for r in none} == {0}
+    assert score_quality(odd.limit(0), labels).count() == 0
+
+
+def test_sample_is_bounded_and_the_same_for_any_split(spark, make):
+    docs, labels = labelled(make, spark)
+    assert learn(docs, labels, rows=60) == learn(docs.repartition(7), labels.repartition(3), rows=60)
