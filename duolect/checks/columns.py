@@ -199,11 +199,13 @@ def filter_duration_mismatch(spark, sf):
 
 
 @check("guard_duration_mismatch", f"""WITH {DIRTY}
-SELECT row_no, CASE WHEN abs(measured_s - duration_s) > 0.1 * duration_s THEN 'error' ELSE 'ok' END AS status
+SELECT row_no, CASE WHEN abs(measured_s - duration_s) > 0.1 * duration_s THEN 'error' ELSE 'ok' END AS status,
+       CASE WHEN abs(measured_s - duration_s) > 0.1 * duration_s
+            THEN printf('Duration mismatch: measured %.3fs, manifest %.3fs', measured_s, duration_s) END AS error_msg
 FROM dirty""")
 def guard_duration_mismatch(spark, sf):
     guard = guards.duration_matches(F.col("measured_s"), F.col("duration_s"))
-    return guards.apply_guards(manifest_dirty(spark, sf), guard).select("row_no", "status")
+    return guards.apply_guards(manifest_dirty(spark, sf), guard).select("row_no", "status", "error_msg")
 
 
 @check("quality_flags", f"""WITH {DIRTY}

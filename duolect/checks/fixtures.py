@@ -138,7 +138,7 @@ def sql_sanitize(column: str) -> str:
 
 
 def sql_resolve(column: str) -> str:
-    return (rf"CASE WHEN regexp_matches(replace({column}, '\', '/'), '^(/|[A-Za-z]:/)') "
+    return (rf"CASE WHEN regexp_matches(replace({column}, '\', '/'), '^(/|[A-Za-z]:/|[A-Za-z][A-Za-z0-9+.-]*://)') "
             rf"THEN replace({column}, '\', '/') ELSE '{DATA_ROOT}/' || replace({column}, '\', '/') END")
 
 

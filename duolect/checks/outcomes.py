@@ -153,8 +153,10 @@ def union_shards(spark, sf):
 SELECT raw_id || '|' || error AS line, lang, direction, shard FROM outcomes WHERE status = 'error'""")
 def error_ledger(spark, sf):
     cfg = config(workspace(spark, "ledger"))
-    tables.write_errors(dirty_outcomes(spark, sf), cfg)
-    rows = spark.read.parquet(tables.errors_path(cfg))
+    tables.write_errors(dirty_outcomes(spark, sf), cfg, "run-1")
+    tables.write_errors(dirty_outcomes(spark, sf), cfg, "run-2")  # never committed: not to be read
+    tables.commit_run(spark, cfg, "run-1")
+    rows = tables.read_errors(spark, cfg)
     return rows.select(F.concat_ws("|", "raw_id", "error").alias("line"), "lang", "direction", "shard")
 
 

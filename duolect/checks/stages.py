@@ -19,7 +19,7 @@ from duolect.plans.samples import add_source_text, infer_samples
 from duolect.session import materialize, workspace
 from duolect.sinks.export import export_samples as export_rows
 from duolect.sinks.export import write_segments
-from duolect.sinks.tables import errors_path
+from duolect.sinks.tables import read_errors
 from duolect.sources.clips import decode_clips, scan_clips
 from duolect.sources.done import read_dataset
 from duolect.standins import fail_on_multiple, standin_teachers
@@ -272,7 +272,7 @@ def rerun_ledger(spark, sf):
     cfg = config(workspace(spark, "job"))
     for _ in range(2):
         run_job(spark, cfg, standin_teachers(), sample_frame(spark, sf, cfg))
-    rows = spark.read.parquet(errors_path(cfg))
+    rows = read_errors(spark, cfg)
     return rows.groupBy("raw_id", "error_kind").agg(F.count(F.lit(1)).alias("times"))
 
 

@@ -16,7 +16,10 @@ class JobConfig:
     """One run: a source language, a direction, and which rows of it to build.
 
     ``shard_idx=None`` builds every shard in a single job; ``max_samples=0``
-    means no per-shard limit; ``tiers=None`` leaves the tier filter off.
+    means no per-shard limit; ``tiers=None`` leaves the tier filter off. Model stages
+    get a task for every ``rows_per_task`` rows, and every ``rows_per_commit`` rows are
+    committed by themselves. ``shuffle_seed`` shuffles the manifest before it is dealt
+    out, and ``summary_files`` sets the number of files of a debug summary.
     """
 
     data_root: str
@@ -38,8 +41,13 @@ class JobConfig:
     exaggeration: float = 0.9
     target_bandwidth: float = 6.0
     duration_tolerance: float | None = None
-    keep_manifest_fields: bool = False
     inference_partitions: int | None = None
+    rows_per_task: int = 512
+    rows_per_commit: int = 200_000
+    min_token_frames: int = 1
+    multi_line: bool = True
+    shuffle_seed: int | None = None
+    summary_files: int | None = None
 
     def __post_init__(self) -> None:
         if any(len(code) != 2 for code in self.languages):
@@ -53,6 +61,8 @@ class JobConfig:
             raise ValueError(f"direction {self.direction!r} does not start from {self.lang!r}")
         if self.shard_idx is not None and not 0 <= self.shard_idx < max(self.num_shards, 1):
             raise ValueError(f"shard_idx {self.shard_idx} is outside 0..{self.num_shards - 1}")
+        if min(self.rows_per_task, self.rows_per_commit) < 1:
+            raise ValueError("rows_per_task and rows_per_commit must be positive")
         if self.max_samples < 0:
             raise ValueError("max_samples must be 0 (off) or positive")
 

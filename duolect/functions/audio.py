@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import math
+import struct
 import wave
 from functools import lru_cache
 
@@ -13,10 +14,40 @@ import numpy as np
 # fraction of the lower Nyquist rate it passes.
 ZERO_CROSSINGS = 6
 ROLLOFF = 0.99
+# Format codes of the WAV header.
+FLOAT, EXTENSIBLE = 0x0003, 0xFFFE
+
+
+def _float_wav(content: bytes) -> tuple[np.ndarray, int] | None:
+    """Samples and rate of a WAV file of floats; None if it is not one."""
+    at, shape = 12, None
+    while content[:4] == b"RIFF" and at + 8 <= len(content):
+        name, size = content[at:at + 4], int.from_bytes(content[at + 4:at + 8], "little")
+        body = content[at + 8:at + 8 + size]
+        if name == b"fmt " and len(body) >= 16:
+            code, channels, rate, _, _, bits = struct.unpack("<HHIIHH", body[:16])
+            if code == EXTENSIBLE and len(body) >= 26:
+                code = int.from_bytes(body[24:26], "little")
+            if code != FLOAT:
+                return None
+            shape = channels, rate, bits
+        elif name == b"data" and shape is not None:
+            channels, rate, bits = shape
+            if len(body) != size or size % (channels * bits // 8):
+                raise ValueError("Truncated audio data")
+            if bits not in (32, 64):
+                raise ValueError(f"Unsupported sample width: {bits // 8} bytes")
+            return np.frombuffer(body, f"<f{bits // 8}").astype(np.float64).reshape(-1, channels), rate
+        at += 8 + size + size % 2
+    return None
 
 
 def decode_wav(content: bytes) -> tuple[np.ndarray, int]:
-    """PCM WAV bytes as float64 ``[frame, channel]`` samples in [-1, 1), and the rate."""
+    """PCM or float WAV bytes as float64 ``[frame, channel]`` samples, and the rate;
+    PCM samples lie in [-1, 1)."""
+    floats = _float_wav(content)
+    if floats is not None:
+        return floats
     with wave.open(io.BytesIO(content)) as clip:
         width, channels, rate = clip.getsampwidth(), clip.getnchannels(), clip.getframerate()
         raw = clip.readframes(clip.getnframes())
@@ -79,15 +110,10 @@ def resample(samples: np.ndarray, rate: int, target: int) -> np.ndarray:
     padded = np.zeros(frames * old + old + 2 * reach + 2)
     padded[reach:reach + samples.size] = samples
     out = np.empty((frames, new))
-    begin, width = first + reach, np.arange(taps.shape[1])
-    if frames < new:  # short clip or many phases: all phases of a frame at once
-        for frame in range(frames):
-            windows = padded[frame * old + begin[:, None] + width]
-            out[frame] = np.einsum("pt,pt->p", windows, taps)
-    else:
-        for phase in range(new):
-            windows = np.lib.stride_tricks.sliding_window_view(padded[begin[phase]:], width.size)
-            out[:, phase] = windows[::old][:frames] @ taps[phase]
+    begin, width = first + reach, taps.shape[1]
+    for phase in range(new):
+        windows = np.lib.stride_tricks.sliding_window_view(padded[begin[phase]:], width)
+        out[:, phase] = windows[::old][:frames] @ taps[phase]
     return out.ravel()[:length]
 
 

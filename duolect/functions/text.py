@@ -23,6 +23,12 @@ WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _WORD_GAP = r"(?U)[\s\x1c-\x1f]++"
 
 
+# A path that is not relative: rooted, with a drive, or with a scheme.
+_ABSOLUTE = "^(/|[A-Za-z]:/|[A-Za-z][A-Za-z0-9+.-]*://)"
+# Control, format, unassigned and private characters, and separators but for the space.
+_UNPRINTABLE = r"[\p{C}\p{Zl}\p{Zp}\p{Zs}&&[^ ]]"
+
+
 def strip(text: Column) -> Column:
     """Trim all Unicode whitespace plus U+001C..U+001F from both ends."""
     return F.btrim(text, F.lit(WHITESPACE))
@@ -64,10 +70,10 @@ def output_key(direction: Column, sample_id: Column, root: str = "data/parallel"
 
 
 def resolve_path(path: Column, root: str) -> Column:
-    """Join to the data root; backslashes separate, an absolute path stands alone."""
+    """Join to the data root; backslashes separate, an absolute path or URI stands alone."""
     slashed = F.translate(path, "\\", "/")
     base = root.replace("\\", "/").rstrip("/")
-    return F.when(slashed.rlike("^(/|[A-Za-z]:/)"), slashed).otherwise(
+    return F.when(slashed.rlike(_ABSOLUTE), slashed).otherwise(
         F.concat(F.lit(base + "/"), slashed))
 
 
@@ -84,12 +90,25 @@ def text_line(text: Column) -> Column:
     return F.concat(text, F.lit("\n"))
 
 
+def _unprintable_escaped(message: Column) -> Column:
+    """Characters that Python's repr writes as hex; texts without any are left alone."""
+    def escape(char: Column) -> Column:
+        point = F.ascii(char)
+        code = lambda mark, width: F.concat(F.lit(mark), F.lpad(F.lower(F.hex(point)), width, "0"))
+        shown = F.when(point < 256, code("\\x", 2)).when(point < 65536, code("\\u", 4)).otherwise(code("\\U", 8))
+        return F.when(char.rlike(_UNPRINTABLE), shown).otherwise(char)
+
+    each = F.array_join(F.transform(F.split(message, ""), escape), "")
+    return F.when(message.rlike(_UNPRINTABLE), each).otherwise(message)
+
+
 def error_repr(kind: Column, message: Column) -> Column:
     """``Kind('message')`` with Python's quoting: double quotes only around a
     message that holds a single quote and no double quote."""
     escaped = F.replace(message, F.lit("\\"), F.lit("\\\\"))
     for char, code in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         escaped = F.replace(escaped, F.lit(char), F.lit(code))
+    escaped = _unprintable_escaped(escaped)
     has_single = F.contains(message, F.lit("'"))
     has_double = F.contains(message, F.lit('"'))
     single = F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'"))

@@ -42,8 +42,8 @@ def target_text_present(text: Column) -> Guard:
 def duration_matches(measured: Column, declared: Column, tolerance: float = 0.1) -> Guard:
     fails = F.coalesce(F.abs(measured - declared) > tolerance * declared, F.lit(False))
     return Guard(fails, "ValueError", F.concat(
-        F.lit("Duration mismatch: measured "), F.format_number(measured, 3),
-        F.lit("s, manifest "), F.format_number(declared, 3), F.lit("s")))
+        F.lit("Duration mismatch: measured "), F.format_string("%.3f", measured),
+        F.lit("s, manifest "), F.format_string("%.3f", declared), F.lit("s")))
 
 
 def cut_bounds(start_s: Column, end_s: Column, rate: Column, n_samples: Column) -> Guard:

@@ -8,6 +8,7 @@ becomes an error row while its neighbours go on.
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -51,13 +52,20 @@ class Teachers:
         if key not in _LOADED:
             factory = getattr(self, stage)
             if factory is None:
-                raise ValueError(f"no factory configured for stage {stage!r}")
+                raise ModelUnavailable(f"no factory configured for stage {stage!r}")
             for old in [k for k in _LOADED if k[0] != self.token]:
                 del _LOADED[old]  # models of an earlier job would hold the device's memory
-            _LOADED[key] = factory()
+            try:
+                _LOADED[key] = factory()
+            except Exception as problem:
+                raise ModelUnavailable(f"stage {stage!r} cannot be loaded: {problem!r}") from problem
         return _LOADED[key]
 
 
+class ModelUnavailable(Exception):
+    """A model that cannot be built: no fault of any row, so the task fails."""
+
+
 class RowError(Exception):
     """An error found before this stage, reported as it was first described."""
 
@@ -78,13 +86,18 @@ def _describe(problem: Exception) -> dict[str, str]:
 def infer_map(df: DataFrame, apply: Callable[[Any, dict], dict], inputs: Sequence[str],
               outputs: str, teachers: Teachers | None = None, drop: Sequence[str] = (),
               apply_many: Callable[[Any, list[dict]], list[dict]] | None = None,
-              profile: ResourceProfile | None = None, chunk_rows: int = AUDIO_ROWS) -> DataFrame:
+              profile: ResourceProfile | None = None, chunk_rows: int = AUDIO_ROWS,
+              stages: Sequence[str] = ()) -> DataFrame:
     """Add ``outputs`` (a DDL string) by calling ``apply(teachers, row)`` on each row.
 
     ``row`` holds the ``inputs`` columns. ``apply_many`` may handle a chunk in one
-    call; should it raise, the chunk is redone row by row to find the culprit. Rows
+    call; should it raise, the halves are tried, down to the row at fault. Rows
     already in error are passed on without a call. ``profile`` asks the cluster for
     the resources of this stage, such as one GPU per task.
+
+    Only faults of a row make an error row. The models of ``stages`` are built before
+    a task's first call, and a model that cannot be built, or memory that runs out,
+    fails the task and with it the job.
     """
     errors = "error_kind string, error_msg string, error string"
     added = StructType.fromDDL(f"{outputs}, {errors}")
@@ -98,16 +111,22 @@ def infer_map(df: DataFrame, apply: Callable[[Any, dict], dict], inputs: Sequenc
     def attempt(row: dict) -> dict:
         try:
             return apply(teachers, row)
+        except (ModelUnavailable, MemoryError):
+            raise
         except Exception as problem:  # one bad row must not stop the others
             return _describe(problem)
 
     def call(rows: list[dict]) -> list[dict]:
-        if apply_many is not None and rows:
-            try:
-                return apply_many(teachers, rows)
-            except Exception:
-                pass  # some row of the chunk is at fault: redo them one by one
-        return [attempt(row) for row in rows]
+        if apply_many is None or len(rows) < 2:
+            return [attempt(row) for row in rows]
+        try:
+            return apply_many(teachers, rows)
+        except (ModelUnavailable, MemoryError):
+            raise
+        except Exception:
+            logging.warning("a call with %d rows failed; its halves are tried", len(rows), exc_info=True)
+        half = len(rows) // 2
+        return call(rows[:half]) + call(rows[half:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -116,6 +135,8 @@ def infer_map(df: DataFrame, apply: Callable[[Any, dict], dict], inputs: Sequenc
                 rows = chunk.select(list(inputs)).to_pylist()
                 before = chunk.select(carried).to_pylist()
                 good = [i for i, seen in enumerate(before) if seen["error_kind"] is None]
+                for stage in stages if good else ():
+                    teachers.get(stage)
                 for i, result in zip(good, call([rows[i] for i in good]), strict=True):
                     before[i] = result
                 columns = [chunk.column(c) for c in kept]
@@ -126,9 +147,10 @@ def infer_map(df: DataFrame, apply: Callable[[Any, dict], dict], inputs: Sequenc
 
 
 def spread(df: DataFrame, partitions: int | None, *keys: str) -> DataFrame:
-    """Even tasks for an expensive stage, by keys that are unique per row. A fixed count
-    keeps the planner from merging many small text rows into a few long tasks."""
-    return df.repartition(partitions or 4 * df.sparkSession.sparkContext.defaultParallelism, *keys)
+    """Even tasks for an expensive stage, by keys that are unique per row. A count that
+    is given, or the session's number of shuffle partitions, keeps the planner from
+    merging many small text rows into a few long tasks. Jobs give one by their rows."""
+    return df.repartition(partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def require_wave(waveform: np.ndarray, rate: int, expected: int, stage: str) -> np.ndarray:
@@ -194,9 +216,11 @@ def translate_texts(df: DataFrame, teachers: Teachers, languages: Sequence[str],
     of a language pair is translated once, and unknown pairs are error rows.
 
     Repeats are merged before the shuffle, so a text very many rows share reaches
-    the model once; rejoining it is an equi-join the adaptive planner splits.
+    the model once. Translations are joined back by the text's SHA-256: the text itself
+    only travels to the model. The equi-join is one the adaptive planner splits.
     """
     pair = ["src_lang", "tgt_lang", text]
+    key = ["src_lang", "tgt_lang", "_text_key"]
     blank = T.is_blank(F.col(text))
     guarded = apply_guards(df, lang_pair_known(
         F.col("src_lang"), F.col("tgt_lang"), F.col(text), languages)).drop("status")
@@ -217,12 +241,13 @@ def translate_texts(df: DataFrame, teachers: Teachers, languages: Sequence[str],
                 done[i] = {"_tgt": out.strip()}
         return done
 
-    translated = (infer_map(spread(distinct, partitions, *pair), one, pair, "_tgt string", teachers,
-                            apply_many=many, profile=profile, chunk_rows=TEXT_ROWS)
+    named = distinct.withColumn("_text_key", F.sha2(text, 256))
+    translated = (infer_map(spread(named, partitions, *key), one, [*pair], "_tgt string", teachers, drop=[text],
+                            apply_many=many, profile=profile, chunk_rows=TEXT_ROWS, stages=["translator"])
                   .withColumnsRenamed({c: f"_{c}" for c in ERROR_COLUMNS}))
     earlier = F.col("error_kind").isNotNull()
     found = {c: F.when(earlier, F.col(c)).otherwise(F.col(f"_{c}")) for c in ERROR_COLUMNS}
-    return (guarded.join(translated, pair, "left")
+    return (guarded.withColumn("_text_key", F.sha2(text, 256)).join(translated, key, "left")
             .withColumns({"tgt_text": F.when(blank, "").otherwise(F.col("_tgt")), **found})
             .select(*guarded.columns, "tgt_text"))
 

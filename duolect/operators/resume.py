@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duolect.operators.shards import with_row_index
+from duolect.session import materialize
 
 KEY = ("direction", "sample_id")
 
@@ -26,14 +27,20 @@ def first_success_wins(df: DataFrame, keys: tuple[str, ...] = KEY, order: str =
     """After the first ``ok`` row of a key, its later rows become ``skipped``;
     failures before it stay errors.
 
-    Per-key minima are combined before the shuffle and only keys with more than one
-    row are joined back, so a key shared by very many rows stays one small record.
+    Who wins is settled on key columns alone: per-key minima are combined before the
+    shuffle, only keys with more than one row are joined back, and what comes out is
+    the order of the rows that lose. These are stored, so the join with the full rows
+    broadcasts them whenever they are few, and audio then moves nowhere. ``df`` is read
+    twice: hand in stored rows. ``order`` is unique.
     """
     first_ok = F.min(F.when(F.col("status") == "ok", F.col(order)))
     winners = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), first_ok.alias("_first_ok"))
                .where((F.col("_rows") > 1) & F.col("_first_ok").isNotNull()).drop("_rows"))
     late = F.coalesce(F.col(order) > F.col("_first_ok"), F.lit(False))
-    marked = df.join(winners, list(keys), "left").withColumn("_late", late)
+    losers = materialize(df.select(*keys, order).join(winners, list(keys)).where(late)
+                         .select(F.col(order).alias("_loser")), "losers")
+    marked = (df.join(losers, F.col(order) == F.col("_loser"), "left")
+              .withColumn("_late", F.col("_loser").isNotNull()))
     changes = {"status": F.when(F.col("_late"), "skipped").otherwise(F.col("status"))}
     for column in ("error_kind", "error_msg", "error"):
         if column in df.columns:

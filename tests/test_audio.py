@@ -106,3 +106,22 @@ def test_cut_names_and_bounds(spark):
         begin, end = int(row.s * 10), int(row.e * 10)
         fits = begin >= 0 and end <= 10 and begin < end
         assert row.cut == (samples[begin:end] if fits else None)
+
+
+@pytest.mark.parametrize("kind", ["<f4", "<f8"])
+@pytest.mark.parametrize("extensible", [False, True])
+def test_float_wav(kind, extensible):
+    samples = np.array([[0.0, 1.5], [-0.25, 0.125], [1e-9, -1.0]]).astype(kind)
+    width = samples.itemsize
+    code = (0xFFFE if extensible else 3).to_bytes(2, "little")
+    shape = (2).to_bytes(2, "little") + (8000).to_bytes(4, "little") + (16000 * width).to_bytes(4, "little")
+    fmt = code + shape + (2 * width).to_bytes(2, "little") + (8 * width).to_bytes(2, "little")
+    if extensible:
+        fmt += (22).to_bytes(2, "little") + (8 * width).to_bytes(2, "little") + bytes(4) + (3).to_bytes(2, "little") + bytes(14)
+    chunk = lambda name, body: name + len(body).to_bytes(4, "little") + body + b"\0" * (len(body) % 2)
+    body = b"WAVE" + chunk(b"fmt ", fmt) + chunk(b"fact", b"abc") + chunk(b"data", samples.tobytes())
+    content = b"RIFF" + len(body).to_bytes(4, "little") + body
+    got, rate = audio.decode_wav(content)
+    assert rate == 8000 and (got == samples.astype(np.float64)).all()
+    with pytest.raises(ValueError, match="Truncated"):
+        audio.decode_wav(content[:-3])

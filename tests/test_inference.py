@@ -61,7 +61,7 @@ def test_models_are_built_once_per_worker(spark, scratch):
 def test_unused_and_absent_stages(spark):
     rows = texts(spark, [("ru", "en", "a")])
     assert I.translate_texts(rows, teachers(asr=Unbuildable), ("ru", "en")).first().error is None
-    with pytest.raises(ValueError, match="no factory"):
+    with pytest.raises(I.ModelUnavailable, match="no factory"):
         teachers().get("asr")
 
 

@@ -31,13 +31,14 @@ def test_sanitized_ids_hold_no_separators(spark):
 
 
 def test_paths_join_the_root_unless_absolute(spark):
-    values = ["keep\\ru\\a.wav", "/abs/a.wav", "C:\\x\\a.wav", "\\srv\\a.wav", "C:rel"]
+    values = ["keep\\ru\\a.wav", "/abs/a.wav", "C:\\x\\a.wav", "\\srv\\a.wav", "C:rel", "s3://b/x y%20.wav"]
     assert column(spark, values, lambda c: T.resolve_path(c, "D:\\root\\")) == [
-        "D:/root/keep/ru/a.wav", "/abs/a.wav", "C:/x/a.wav", "/srv/a.wav", "D:/root/C:rel"]
+        "D:/root/keep/ru/a.wav", "/abs/a.wav", "C:/x/a.wav", "/srv/a.wav", "D:/root/C:rel", "s3://b/x y%20.wav"]
 
 
 def test_error_repr_matches_python(spark):
-    values = ["plain", "it's", 'say "x"', "both ' and \"", "line\nbreak\t\\end\r", "", "мир"]
+    values = ["plain", "it's", 'say "x"', "both ' and \"", "line\nbreak\t\\end\r", "", "мир",
+              "\0\x1c\x7f\x85\xa0\xad", "\u200b\u2028\u3000\ufeff\ue000", "🙂\U000e0001 ", "tab\tand\x01'"]
     shown = column(spark, values, lambda c: T.error_repr(F.lit("ValueError"), c))
     assert shown == [repr(ValueError(v)) for v in values]
     assert column(spark, [None], lambda c: T.debug_status(c)) == ["ok"]
