@@ -7,11 +7,13 @@ durations), so that guards and resume have something to find; no row is left out
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duolect.config import JobConfig
 from duolect.functions import text as T
+from duolect.functions.files import file_system, write_file
 from duolect.operators.guards import (apply_guards, clip_exists, source_text_present,
                                       target_text_present)
 from duolect.operators.resume import first_success_wins
@@ -243,3 +245,26 @@ def sample_frame(spark: SparkSession, sf_dir: str, cfg: JobConfig) -> DataFrame:
             .withColumn("clip", F.when(F.col("present"), text_clip(F.col("spoken"))))
             .drop("present", "done", "spoken", "measured_s"))
     return sample_columns(select_rows(with_row_index(rows), cfg), cfg)
+
+
+def corpus_files(spark: SparkSession, sf_dir: str, root: str) -> JobConfig:
+    """Dirty rows as a job finds them: CSV manifests in row order and a WAV file for every
+    clip that is not missing, under ``root``; and the settings of a job over them."""
+    rows = manifest_dirty(spark, sf_dir).withColumn(
+        "audio_path", F.concat(F.lit("clips\\"), F.col("row_no").cast("string"), F.lit(" %20.wav")))
+    (rows.orderBy("row_no").select("text", "id", "lang", "dataset", "split", "tier", "audio_path", "duration_s").write
+     .option("escape", '"').option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+     .csv(f"{root}/manifest", header=True))
+    clips = rows.where("present").select(
+        T.resolve_path(F.col("audio_path"), root).alias("path"), text_clip(F.col("spoken")).alias("content"))
+
+    def put(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                system, name = file_system(path)
+                system.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                write_file(system, name, content)
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["path"])
+
+    clips.mapInArrow(put, "path string").write.format("noop").mode("overwrite").save()
+    return config(f"{root}/out", data_root=root, manifests={"en": f"{root}/manifest"})

@@ -5,9 +5,11 @@ The stand-ins are formulas, so the SQL can say what every stage must return.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from duolect.checks.fixtures import (DIRTY, VECTORS, VIEW, config, manifest_dirty, manifest_view,
+from duolect.checks.fixtures import (DIRTY, VECTORS, VIEW, config, corpus_files, manifest_dirty, manifest_view,
                                      sample_frame, sql_sanitize, sql_strip, text_clip, vector_clips)
 from duolect.checks.registry import check
 from duolect.config import SOURCE_RATE
@@ -276,6 +278,28 @@ def rerun_ledger(spark, sf):
     return rows.groupBy("raw_id", "error_kind").agg(F.count(F.lit(1)).alias("times"))
 
 
+_MANIFEST_JOB = _BUILT.replace("WHERE duration_s BETWEEN", "WHERE lang = 'en' AND duration_s BETWEEN")
+
+
+@check("job_from_manifest", f"""WITH {_MANIFEST_JOB}
+SELECT idx, id AS raw_id, idx % 4 AS shard, status, CASE status WHEN 'error' THEN kind END AS error_kind,
+       CASE status WHEN 'ok' THEN md5(tgt_text) END AS tgt_md5,
+       CASE status WHEN 'ok' THEN 44 + 2 * octet_length(encode(spoken)) END AS src_wav_bytes,
+       CASE WHEN first_ok IS NULL THEN 'error' ELSE 'skipped' END AS again
+FROM settled""")
+def job_from_manifest(spark, sf):
+    """The whole job from files: CSV manifests, clips opened by path, the language filter,
+    several committed batches, and a second run that goes on from the first."""
+    cfg = corpus_files(spark, sf, workspace(spark, "corpus"))
+    sizes = run_job(spark, cfg, standin_teachers())
+    later = run_job(spark, replace(cfg, rows_per_commit=-(-max(sizes.n_rows, 2) // 2)), standin_teachers())
+    good = F.col("status") == "ok"
+    return sizes.outcomes.select(
+        "idx", "raw_id", "shard", "status", "error_kind", F.when(good, F.md5("tgt_text")).alias("tgt_md5"),
+        F.when(good, F.octet_length("src_wav")).alias("src_wav_bytes")).join(
+            later.outcomes.select("idx", F.col("status").alias("again")), "idx")
+
+
 @check("export_samples", f"""WITH {_BUILT}
 SELECT sample_id, 8 AS files FROM settled WHERE status = 'ok'""")
 def export_samples(spark, sf):
