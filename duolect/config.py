@@ -38,6 +38,7 @@ class JobConfig:
     num_shards: int = 1
     shard_idx: int | None = None
     max_samples: int = 0
+    # The defaults of the synthesis and codec settings.
     exaggeration: float = 0.9
     target_bandwidth: float = 6.0
     duration_tolerance: float | None = None

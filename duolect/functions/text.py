@@ -121,6 +121,7 @@ def debug_status(error: Column) -> Column:
     return F.when(error.isNotNull(), F.concat(F.lit("error: "), error)).otherwise(F.lit("ok"))
 
 
+# Fixed value: the wording of the message.
 def empty_source_message(sample_id: Column, text_column: str) -> Column:
     return F.concat(F.lit("Empty manifest text for id="), sample_id,
                     F.lit(f", column={text_column!r}"))

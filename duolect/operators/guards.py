@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from duolect.functions import text as T
 from duolect.functions.arrays import cut_bounds_valid
 
+# Fixed value: the message for a cut outside its clip.
+BAD_CUT = "Invalid start or end times"
+
 ERROR_COLUMNS = ("error_kind", "error_msg", "error")
 
 
@@ -48,7 +51,7 @@ def duration_matches(measured: Column, declared: Column, tolerance: float = 0.1)
 
 def cut_bounds(start_s: Column, end_s: Column, rate: Column, n_samples: Column) -> Guard:
     return Guard(~cut_bounds_valid(start_s, end_s, rate, n_samples), "ValueError",
-                 F.lit("Invalid start or end times"))
+                 F.lit(BAD_CUT))
 
 
 def apply_guards(df: DataFrame, *guards: Guard) -> DataFrame:
