@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+import sys
+from array import array
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +42,43 @@ def slabs(text: str, size: int = SLAB) -> Iterator[str]:
         at = end
 
 
+def packed(ids: Iterable[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
+class Remembered:
+    """What a worker has learnt about the words it met lately, ``size`` to twice as many.
+
+    When full, the words become the older half; those met again are taken over from it.
+    """
+
+    def __init__(self, learn: Callable[[list[str]], Iterable[bytes]], size: int):
+        self.learn, self.size = learn, size
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def of(self, words: list[str]) -> bytes:
+        """The values of words one after another."""
+        recent = self.recent
+        missing = [word for word in set(words) if word not in recent]
+        if missing and len(recent) + len(missing) > self.size:
+            self.older, self.recent = recent, {}
+            recent, missing = self.recent, list(set(words))
+        if missing:
+            older, new = self.older, []
+            for word in missing:
+                if word in older:
+                    recent[word] = older[word]
+                else:
+                    new.append(word)
+            recent.update(zip(new, self.learn(new), strict=True) if new else ())
+        return b"".join(map(recent.__getitem__, words))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

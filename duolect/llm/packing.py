@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from unicodedata import is_normalized
 from zlib import crc32
 
 import pandas as pd
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duolect.llm.common import bound_batches, slabs, whole
+from duolect.llm.common import Remembered, bound_batches, packed, slabs, whole
 from duolect.session import materialize
 
 WINDOW = 2048
@@ -27,8 +28,9 @@ GROUP_PIECES = 1 << 16
 KNOWN_WORDS = 400_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACES = PIECES + ", sequence_id long, offset long"
-# Python splits at these four; the tokenizer does not count them as white space.
-ODD_SPACES = re.compile("[\x1c-\x1f]")
+# Python splits at the first four, which the tokenizer does not count as white space, and lowers the others by what is around them.
+ODD = re.compile("[\x1c-\x1f\u03a3\u0130]")
+WORD_END = re.compile(r"[.,](?<=[a-z\xdf-\xf6\xf8-\xff].)(?=\s|$)")
 
 _TOKENIZERS: dict[str, WordIds] = {}
 
@@ -36,8 +38,9 @@ _TOKENIZERS: dict[str, WordIds] = {}
 class WordIds:
     """Ids of texts as little-endian unsigned 32-bit bytes, by words seen before.
 
-    The tokenizer never looks across white space, so a text's ids are those of its
-    words one after another; most words of a text have been seen already.
+    The tokenizer lowers case and never looks across white space, nor from a letter to
+    the point or comma that ends a word, so a text's ids are those of these parts one
+    after another; most of them have been seen already.
     """
 
     def __init__(self, path: str):
@@ -45,31 +48,17 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.words = Remembered(self._learn, KNOWN_WORDS)
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            self.known.clear()
-        for word, found in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
-            self.known[word] = _packed(found.ids)
+    def _learn(self, words: list[str]) -> Iterator[bytes]:
+        return (packed(found.ids) for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False))
 
     def encode(self, text: str) -> bytes:
-        if ODD_SPACES.search(text):
-            return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return b"".join(self._slabs(text))
-
-    def _slabs(self, text: str) -> Iterator[bytes]:
-        for part in slabs(text):
-            words = part.split()
-            if missing := set(words) - self.known.keys():
-                self._learn(list(missing))
-                if not self.known.keys() >= set(words):  # forgotten while learning
-                    self._learn(list(set(words) - self.known.keys()))
-            yield b"".join(map(self.known.__getitem__, words))
-
-
-def _packed(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+        if ODD.search(text):
+            return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if "<|" not in text and is_normalized("NFC", text):
+            text = WORD_END.sub(r" \g<0>", text.lower())
+        return b"".join(self.words.of(part.split()) for part in slabs(text))
 
 
 def word_ids(path: str) -> WordIds:

@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duolect.llm.common import bound_batches, same, whole
+from duolect.llm.common import Remembered, bound_batches, packed, same, whole
 from duolect.session import materialize
 
 CHUNK = 1 << 15
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 250_000
 # The format's mark for a space, and a private character that no vocabulary has.
 SPACE = "▁"
 ALONE = "\ue000"
@@ -55,7 +55,7 @@ class Coder:
         if any(SPACE in p.lstrip(SPACE) or ALONE in p for p in self.pieces):
             raise ValueError("a piece of this vocabulary may cross from one word into the next")
         self.skip = len(self.model.encode(ALONE))
-        self.words: dict[str, bytes] = {}
+        self.words = Remembered(lambda words: map(packed, self.model.encode(words)), KNOWN_WORDS)
         self.own: dict[str, list[int]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
@@ -88,23 +88,14 @@ class Coder:
         """Ids of whole words, the first one's space included."""
         words = text[1:].split(SPACE)
         if "" in words or len(text) == 1:
-            return _packed(self.model.encode(text[1:]) if len(text) > 1 else self.alone(text))
-        if missing := list(set(words) - self.words.keys()):
-            if len(self.words) + len(missing) > KNOWN_WORDS:
-                self.words.clear()
-                missing = list(set(words))
-            self.words.update(zip(missing, map(_packed, self.model.encode(missing)), strict=True))
-        return b"".join(map(self.words.__getitem__, words))
+            return packed(self.model.encode(text[1:]) if len(text) > 1 else self.alone(text))
+        return self.words.of(words)
 
     def decode(self, ids: bytes) -> str:
         """The stretch of text that ids stand for, spaces marked."""
         return b"".join(self.bytes[i] for i in memoryview(ids).cast("I")).decode("utf-8", "replace")
 
 
-def _packed(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
-
-
 def coder(path: str) -> Coder:
     """The worker's own coder of a file."""
     if path not in _CODERS:
@@ -206,7 +197,7 @@ class Chunk:
         return found
 
     def _ids(self, pieces: list[str]) -> bytes:
-        return b"".join(_packed(self.known.alone(p)) for p in pieces)
+        return b"".join(packed(self.known.alone(p)) for p in pieces)
 
     def covered(self, entry: State, leave: State) -> str:
         """The text of the pieces that start in this chunk."""

@@ -13,7 +13,7 @@ from duolect.llm import queries as text
 from duolect.llm.exact_dedup import exact_dedup
 from duolect.llm.language_id import predict_languages
 from duolect.llm.line_dedup import cut, units
-from duolect.llm.packing import _packed
+from duolect.llm.common import packed
 from duolect.llm.simhash import near_duplicates
 
 SMALL = "/root/testdata/sf0.001"
@@ -60,7 +60,7 @@ def test_stages_follow_from_each_other(spark, odd):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     pieces = sorted((r.doc_id, r.start, r.length, r.ids_crc32) for r in steps["packing"](spark, rest, SMALL).collect())
     ids = {doc: [*tokenizer.encode(text, add_special_tokens=False).ids, 1] for doc, text in want.items()}
-    assert pieces == sorted((doc, at, len(own[at:at + 2048]), crc32(_packed(own[at:at + 2048]))) for doc, own in ids.items() for at in range(0, len(own), 2048))
+    assert pieces == sorted((doc, at, len(own[at:at + 2048]), crc32(packed(own[at:at + 2048]))) for doc, own in ids.items() for at in range(0, len(own), 2048))
 
 
 def test_run_packs_every_document_that_stays(spark):
