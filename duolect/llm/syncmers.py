@@ -113,31 +113,31 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     The edit replaces the last quarter of the code points (rounded down) by as many, or
     all, of the next document's first; documents follow each other by doc_id, a null id
     last, then by a hash of the text, and the first follows the last. Gives doc_id,
-    n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and
+    next_id, the next document's id.
 
     Null texts count as empty; an empty text has an empty fingerprint, as like to
     another empty one as can be. Rows that repeat both id and text are one document and
     give one row. Other columns are not read, and an empty table gives no rows.
     """
     keyed = _keyed(docs)
-    marks = materialize(
-        keyed.select("doc_id", "key", "text_hash", F.length("text").cast("long").alias("n_chars"), sketch(F.col("text")).alias("marks"))
-        .dropDuplicates(["key", "text_hash"]), "syncmer-marks")
-    around = materialize(ring(marks.select("doc_id", "key", "text_hash", "n_chars")), "syncmer-ring")
-    both = keyed.dropDuplicates(["key", "text_hash"]) if marks.count() < docs.count() else keyed
-    joined = both.drop("doc_id").join(around.drop("doc_id"), ["key", "text_hash"])
-    heads = joined.select(F.col("last.key").alias("key"), F.col("last.text_hash").alias("text_hash"),
-                          F.substring("text", F.lit(1), F.floor(F.col("last.n_chars") / 4).cast("int")).alias("head"))
-    quarter = F.floor(F.col("n_chars") / 4)
-    edited = joined.join(heads, ["key", "text_hash"]).select(
-        "key", "text_hash",
-        F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - quarter).cast("int")), "head").alias("edited"))
-    edits = materialize(edited.select("key", "text_hash", F.sha2("edited", 256).alias("edited_sha256"),
-                                      sketch(F.col("edited")).alias("edited_marks")), "syncmer-edits")
-    after = around.select("key", "text_hash", F.col("next.key").alias("next_key"), F.col("next.text_hash").alias("next_hash"))
-    following = marks.select(F.col("key").alias("next_key"), F.col("text_hash").alias("next_hash"), F.col("marks").alias("next_marks"))
-    return (marks.join(edits, ["key", "text_hash"]).join(after, ["key", "text_hash"]).join(following, ["next_key", "next_hash"])
-            .select("doc_id", "n_chars", "edited_sha256", as_text(F.col("marks")).alias("fingerprint"),
-                    as_text(F.col("edited_marks")).alias("edited_fingerprint"),
-                    likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
-                    likeness(F.col("marks"), F.col("next_marks")).alias("near_next")))
+    keys = materialize(keyed.select("doc_id", "key", "text_hash", F.length("text").cast("long").alias("n_chars")), "syncmer-keys")
+    distinct = keys.distinct()
+    around = materialize(ring(distinct).drop("doc_id"), "syncmer-ring")
+    if distinct.count() < keys.count():
+        keyed = keyed.dropDuplicates(["key", "text_hash"])
+    joined = keyed.join(around, ["key", "text_hash"])
+    # What a document gives to the one before it. Both sides of the join below read the
+    # same columns, so that they share one shuffle of the text.
+    given = joined.select(F.col("last.key").alias("key"), F.col("last.text_hash").alias("text_hash"),
+                          F.substring("text", F.lit(1), F.floor(F.col("last.n_chars") / 4).cast("int")).alias("head"),
+                          sketch(F.col("text")).alias("next_marks"), F.col("doc_id").alias("next_id"))
+    kept = (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int")
+    rows = joined.join(given, ["key", "text_hash"]).select(
+        "doc_id", "n_chars", "next_id", "next_marks", sketch(F.col("text")).alias("marks"),
+        F.concat(F.substring("text", F.lit(1), kept), "head").alias("edited"))
+    rows = rows.withColumns({"edited_marks": sketch(F.col("edited")), "edited_sha256": F.sha2("edited", 256)})
+    return rows.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("marks")).alias("fingerprint"),
+                       as_text(F.col("edited_marks")).alias("edited_fingerprint"),
+                       likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
+                       likeness(F.col("marks"), F.col("next_marks")).alias("near_next"), "next_id")
