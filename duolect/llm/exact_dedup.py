@@ -101,9 +101,9 @@ def _compare(rows: DataFrame, texts: DataFrame, digest: Column) -> tuple[DataFra
     """Compare the full bytes of every hit with the retained document's.
 
     Returns the hits whose bytes differ, and the text of all hits; other documents' text
-    is kept out of the shuffle by a runtime filter on the ids. A
-    group's retained text is repeated once for every ``SALT_ROWS`` of its rows, so that
-    neither a hot group nor a long text meets in one task.
+    is kept out of the shuffle by a runtime filter on the ids. A group's retained text is
+    repeated once for every ``SALT_ROWS`` of its rows, so that a hot group never meets in
+    one task.
     """
     hits = rows.where("size > 1").select(F.col("doc_id").alias("hit_id"), F.col("digest").alias("hit_digest"), "keep_id", "size")
     with settings(rows.sparkSession, FILTER_SETTINGS):
