@@ -191,13 +191,15 @@ def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size")),
                            "simhash-distinct")
     roots = materialize(components(links(distinct.select("fp"), bits)), "simhash-roots")
-    linked = distinct.join(roots, F.col("fp") == F.col("node"))
-    named = linked.groupBy("root").agg(F.min("least").alias("name"))
-    names = distinct.join(roots, F.col("fp") == F.col("node"), "left").join(
-        named.withColumnRenamed("root", "named"), F.col("root") == F.col("named"), "left")
+    # A component may hold very many fingerprints, and those without links have no root: their keys differ.
+    rooted = materialize(distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", "size", F.col("root").isNull().alias("alone"),
+        F.coalesce(F.col("root").cast("string"), F.concat(F.lit("alone "), F.col("fp").cast("string"))).alias("key")), "simhash-rooted")
+    named = rooted.where("not alone").groupBy("key").agg(F.min("least").alias("name"), F.count(F.lit(1)).alias("members"))
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    names = materialize(names.select(hexed.alias("fingerprint"), F.when(F.col("root").isNull(), F.col("least"))
-                                     .otherwise(F.col("name")).alias("component_id"), "size"), "simhash-names")
+    names = materialize(attach(rooted, named, "key", "members", rooted.count(), ["fp"]).select(
+        hexed.alias("fingerprint"), F.when(F.col("alone"), F.col("least")).otherwise(F.col("found.name")).alias("component_id"), "size"),
+        "simhash-names")
     return attach(rows.select("doc_id", hexed.alias("fingerprint")), names, "fingerprint", "size", total, ["doc_id"]).select(
         "doc_id", "fingerprint", F.col("found.component_id").alias("component_id"))
 
