@@ -3,8 +3,9 @@
 A unit is a sentence, or the rest of a line: a repeated passage inside an otherwise
 different line or paragraph is still made of whole units. Units are normalised and
 hashed, digests are grouped over all documents, the earliest occurrence stays and the
-others are cut out. A unit of fewer than ``MIN_WORDS`` words means little by itself; its
-digest covers the words before it too, so it only counts as repeated along with them.
+others are cut out. A line of fewer than ``MIN_WORDS`` words is one unit, with a digest of
+its own. A sentence as short inside a longer line means little by itself; its digest
+covers the words before it too, so it only counts as repeated along with them.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from duolect.llm.common import FILTER_SETTINGS, SPACES, bound_batches, boxed, ma
 from duolect.session import materialize
 
 MIN_WORDS = 8
-UNIT_END = re.compile(r"[.!?]\s|\n")
+LINE = re.compile(r"[^\n]*\n|[^\n]+")
+UNIT_END = re.compile(r"[.!?]\s")
 UNITS = "doc_id long, text_hash long, unit int, start int, stop int, key binary"
+BETWEEN = r"[\x20\x09-\x0D]+"
 # Units handed back at a time.
 ROWS = 20_000
 
@@ -30,19 +33,22 @@ ROWS = 20_000
 def units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, bytes | None]]:
     """Start and end (code points) and digest of each unit, blank ones left out.
 
-    The digest is of the lower-case words; it is None at the start of a text with too few words.
+    The digest is of the lower-case words. It is None for a short sentence of a longer
+    line with too few words before it, which only a text's first words can have.
     """
     before: list[str] = []
-    at = 0
-    ends = [m.end() for m in UNIT_END.finditer(text)]
-    for end in [*ends, len(text)]:
-        words = text[at:end].lower().split()
-        if words:
-            own = words if len(words) >= min_words else (before + words)[-min_words:]
-            full = len(own) >= min_words
-            yield at, end, blake2b(" ".join(own).encode("utf-8", "surrogatepass"), digest_size=16).digest() if full else None
-            before = (before + words)[-min_words:] if len(words) < min_words else words[-min_words:]
-        at = end
+    for line in LINE.finditer(text):
+        at, last = line.span()
+        short = len(line[0].split()) < min_words
+        ends = [] if short else [m.end() for m in UNIT_END.finditer(text, at, last)]
+        for end in [*ends, last]:
+            words = text[at:end].lower().split()
+            if words:
+                own = words if short or len(words) >= min_words else (before + words)[-min_words:]
+                full = short or len(own) >= min_words
+                yield at, end, blake2b(" ".join(own).encode("utf-8", "surrogatepass"), digest_size=16).digest() if full else None
+                before = (before + words)[-min_words:] if len(words) < min_words else words[-min_words:]
+            at = end
 
 
 def _unit_rows(docs: DataFrame, min_words: int) -> DataFrame:
@@ -119,8 +125,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, text and removed of every row: the text without its repeated units, and what was cut.
 
     ``removed`` is an array of start and stop in the original text, empty where nothing
-    was cut; such texts come out as they are. Null texts stay null, and texts of fewer
-    than ``min_words`` words are never cut. Rows that repeat both id and text are cut
+    was cut; such texts come out as they are. Null texts stay null. Rows that repeat both id and text are cut
     alike and come out as often as they come in. Other columns are not read.
     """
     kind = "array<struct<start:int,stop:int>>"
@@ -132,8 +137,12 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def keep_rest(docs: DataFrame) -> DataFrame:
     """The columns of ``docs`` with repeats cut, ``n_chars`` counted anew.
 
-    Documents of which nothing but white space is left go; those without text before stay.
+    Documents of which nothing but white space is left go; those without text before stay,
+    and so do, uncut, those of fewer than ``MIN_WORDS`` words: whole copies of these are the
+    concern of the stages before.
     """
     rest = _cut_rows(docs, MIN_WORDS)
     emptied = F.col("starts").isNotNull() & (F.length(F.translate(whole("rest"), SPACES, "")) == 0)
-    return unboxed(rest.where(~emptied), docs, text=F.col("rest"), n_chars=F.length("rest").cast("long"))
+    brief = F.size(F.split(F.btrim(whole("row.text"), F.lit(SPACES)), BETWEEN)) < MIN_WORDS
+    text = F.when(emptied, F.col("row.text")).otherwise(F.col("rest"))
+    return unboxed(rest.where(~emptied | brief), docs, text=text, n_chars=F.length(text).cast("long"))

@@ -60,3 +60,13 @@ def test_documents_of_which_nothing_is_left_go(make):
 
 def test_empty_table(odd):
     assert dedup_lines(odd.limit(0)).count() == keep_rest(odd.limit(0)).count() == 0
+
+
+def test_short_whole_lines_are_cut_under_any_text(make):
+    short = "All rights reserved."
+    rows = [(1, "One text stands over it.\n" + short + "\nMore of it follows."), (2, "Quite another one.\n  all  rights reserved. \nAnd an end."),
+            (3, short), (4, "A longer line that says at its end: no more than this. " + short), (5, "Yes. No.\n" + short), (6, "Some words.\nYes. No.")]
+    found = {r.doc_id: r.text for r in dedup_lines(make(rows)).collect()}
+    assert found == {1: rows[0][1], 2: "Quite another one.\nAnd an end.", 3: "", 4: rows[3][1], 5: "Yes. No.\n", 6: "Some words.\n"}
+    kept = {r.doc_id: (r.text, r.n_chars) for r in keep_rest(make(rows)).collect()}
+    assert kept == {i: (t, len(t)) for i, t in {**found, 3: short}.items()}
