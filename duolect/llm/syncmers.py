@@ -3,8 +3,9 @@
 A k-mer is five words in a row and its inner substrings are the four pairs of
 neighbours. It is an anchor if the smallest pair, by hash, is the first or the last:
 that depends on the five words alone, so the same words give the same anchors in any
-context, and one of every two k-mers is one. The fingerprint is the sketch of the
-anchors' smallest hashes. Everything is column expressions.
+context, and one of every two k-mers is one. Likenesses compare all anchors of two
+texts; the fingerprint is a sketch of their smallest hashes. Everything is column
+expressions.
 """
 
 from __future__ import annotations
@@ -59,23 +60,32 @@ def anchors(text: Column) -> Column:
     return let(_words(whole(text)), choose)
 
 
+def marks(text: Column) -> Column:
+    """The distinct hashes of all anchors of a text."""
+    return F.array_distinct(F.transform(anchors(text), lambda x: x["hash"]))
+
+
+def _sketched(marks: Column) -> Column:
+    hashes = F.transform(marks, lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)))
+    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
+
+
 def sketch(text: Column) -> Column:
     """The ``SKETCH`` smallest anchor hashes, 32 bits of each, in order."""
-    hashes = F.transform(anchors(text), lambda x: x["hash"].bitwiseAND(F.lit(0xFFFFFFFF)))
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
+    return _sketched(marks(text))
 
 
-def as_text(marks: Column) -> Column:
-    return F.array_join(F.transform(marks, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+def as_text(sketch: Column) -> Column:
+    return F.array_join(F.transform(sketch, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """Share of common anchors, estimated from two sketches: 0 to 1, 1 for two without any."""
-    def of_both(both: Column) -> Column:
-        shared = F.size(F.array_intersect(F.array_intersect(one, other), both))
-        return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(shared / F.size(both))
+    """Share of common anchors of two texts' marks: 0 to 1, 1 for two without any."""
+    def of_shared(shared: Column) -> Column:
+        both = F.size(one) + F.size(other) - shared
+        return F.when(both == 0, F.lit(1.0)).otherwise(shared / both)
 
-    return let(F.slice(F.sort_array(F.array_union(one, other)), 1, SKETCH), of_both).cast("double")
+    return let(F.size(F.array_intersect(one, other)), of_shared).cast("double")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -131,13 +141,13 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     # same columns, so that they share one shuffle of the text.
     given = joined.select(F.col("last.key").alias("key"), F.col("last.text_hash").alias("text_hash"),
                           F.substring("text", F.lit(1), F.floor(F.col("last.n_chars") / 4).cast("int")).alias("head"),
-                          sketch(F.col("text")).alias("next_marks"), F.col("doc_id").alias("next_id"))
+                          marks(F.col("text")).alias("next_marks"), F.col("doc_id").alias("next_id"))
     kept = (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int")
     rows = joined.join(given, ["key", "text_hash"]).select(
-        "doc_id", "n_chars", "next_id", "next_marks", sketch(F.col("text")).alias("marks"),
+        "doc_id", "n_chars", "next_id", "next_marks", marks(F.col("text")).alias("marks"),
         F.concat(F.substring("text", F.lit(1), kept), "head").alias("edited"))
-    rows = rows.withColumns({"edited_marks": sketch(F.col("edited")), "edited_sha256": F.sha2("edited", 256)})
-    return rows.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("marks")).alias("fingerprint"),
-                       as_text(F.col("edited_marks")).alias("edited_fingerprint"),
+    rows = rows.withColumns({"edited_marks": marks(F.col("edited")), "edited_sha256": F.sha2("edited", 256)})
+    return rows.select("doc_id", "n_chars", "edited_sha256", as_text(_sketched(F.col("marks"))).alias("fingerprint"),
+                       as_text(_sketched(F.col("edited_marks"))).alias("edited_fingerprint"),
                        likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
                        likeness(F.col("marks"), F.col("next_marks")).alias("near_next"), "next_id")

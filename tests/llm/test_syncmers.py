@@ -62,3 +62,17 @@ def test_odd_rows(odd):
     one = compare_edits(odd.where("doc_id = 4")).first()
     assert one.near_next == 1 and one.edited_sha256 == hashlib.sha256(b"HelloworHe").hexdigest()
     assert compare_edits(odd.limit(0)).count() == 0
+
+
+def test_likeness_is_of_all_anchors(spark, make):
+    passage = " ".join(f"p{i * i % 89}q{i}" for i in range(40))
+    rows = [(i, " ".join(f"d{i}w{j * j % 991}" for j in range(900)) + " " + passage) for i in range(3)]
+    docs = make(rows)
+    own = {r.doc_id: {x.hash for x in r.a} for r in docs.select("doc_id", anchors(F.col("text")).alias("a")).collect()}
+    assert all(len(x) > 2 * SKETCH for x in own.values())
+    after = spark.createDataFrame([(i, text) for i, (_, text) in edited(rows).items()], "doc_id long, text string")
+    new = {r.doc_id: {x.hash for x in r.a} for r in after.select("doc_id", anchors(F.col("text")).alias("a")).collect()}
+    for r in compare_edits(docs).collect():
+        i, j = own[r.doc_id], own[(r.doc_id + 1) % 3]
+        assert r.near_next == len(i & j) / len(i | j) > 0
+        assert r.near_edited == len(i & new[r.doc_id]) / len(i | new[r.doc_id])
