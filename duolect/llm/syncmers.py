@@ -35,8 +35,8 @@ def _words(text: Column) -> Column:
 def anchors(text: Column) -> Column:
     """The closed syncmers of a text in order: an array of (place, hash).
 
-    ``place`` counts words from zero. A text of one to four words is one anchor; one
-    without words has none.
+    ``place`` counts words from zero. A text of one to four words is one anchor, and so is
+    a longer one without a closed syncmer; one without words has none.
     """
     kind = "array<struct<place:int,hash:bigint>>"
 
@@ -54,7 +54,7 @@ def anchors(text: Column) -> Column:
 
     def choose(words: Column) -> Column:
         short = F.array(F.struct(F.lit(0).alias("place"), F.xxhash64(words).alias("hash"))).cast(kind)
-        return (F.when(F.size(words) >= WORDS, of_words(words))
+        return (F.when(F.size(words) >= WORDS, let(of_words(words), lambda found: F.when(F.size(found) > 0, found).otherwise(short)))
                 .when(F.get(words, F.lit(0)) != "", short).otherwise(F.array().cast(kind)))
 
     return let(_words(whole(text)), choose)

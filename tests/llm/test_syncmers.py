@@ -76,3 +76,11 @@ def test_likeness_is_of_all_anchors(spark, make):
         i, j = own[r.doc_id], own[(r.doc_id + 1) % 3]
         assert r.near_next == len(i & j) / len(i | j) > 0
         assert r.near_edited == len(i & new[r.doc_id]) / len(i | new[r.doc_id])
+
+
+def test_texts_of_five_and_six_words_have_anchors(spark, make):
+    texts = [" ".join(f"w{i}n{n}at{j}" for j in range(n)) for i in range(40) for n in (5, 6)]
+    found = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select(anchors(F.col("text")).alias("a")).collect()
+    assert all(r.a for r in found) and len({tuple(x.hash for x in r.a) for r in found}) == len(texts)
+    rows = compare_edits(make([*enumerate(texts), (1000, "")])).collect()
+    assert all(r.near_next == 0 and (r.fingerprint or r.doc_id == 1000) for r in rows)
