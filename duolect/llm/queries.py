@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from duolect.llm import exact_dedup as exact
 from duolect.llm import pieces as sentencepieces
-from duolect.llm import language_id, line_dedup, packing, quality, simhash, syncmers, toxicity, warc
+from duolect.llm import hard_negatives, language_id, line_dedup, packing, quality, reduced_packing, runs, simhash, syncmers, toxicity, warc
 from duolect.llm.common import table
 from duolect.session import ship_package
 
@@ -102,3 +102,45 @@ SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
 FROM m""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def adjusted(embeddings: DataFrame) -> DataFrame:
+    """Rows as the miner takes them: whole-number vectors, and some labels moved on to another."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), moved.alias("label"), hard_negatives.quantised("embedding").alias("vector"))
+
+
+@_add("op11_hard_negatives", """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, e.vec_id AS other_id, a.label = e.label AS same,
+         CAST(list_dot_product(a.q, e.q) AS BIGINT) AS score
+  FROM e a JOIN e ON a.vec_id <> e.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+  AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY rank <= 10""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(adjusted(table(spark, sf_dir, "embeddings")))
+
+
+@_add("op12_reduced_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return reduced_packing.pack(table(spark, sf_dir, "documents"), path, end_id=1)
+
+
+@_add("op13_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.summarised(runs.periodic_runs(table(spark, sf_dir, "documents"), runs.planted))

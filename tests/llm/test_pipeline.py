@@ -25,7 +25,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_operator_and_the_pipeline_are_registered():
-    assert {n.split("_")[0] for n in entry.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in entry.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in entry.queries() and [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "simhash", "line_dedup", "packing"]
 
 

@@ -1,0 +1,112 @@
+"""Packing: fixed sequences against the best of all packings, pieces against the tokenizer."""
+
+import random
+from collections import defaultdict
+from functools import lru_cache
+from zlib import crc32
+
+import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from duolect.llm.common import packed
+from duolect.llm.queries import QUERIES
+from duolect.llm.reduced_packing import Stock, arrange, best_fit, pack, reduce
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def fewest(lengths, window):
+    """The least number of sequences, by trying all fillings of the longest piece's sequence."""
+    @lru_cache(None)
+    def solve(rest):
+        if not rest:
+            return 0
+        found = set()
+
+        def fill(left, at, room):
+            found.add(left)
+            for i in range(at, len(left)):
+                if left[i] <= room:
+                    fill(left[:i] + left[i + 1:], i, room - left[i])
+
+        fill(rest[1:], 0, window - rest[0])
+        return 1 + min(map(solve, found))
+
+    return solve(tuple(sorted(lengths, reverse=True)))
+
+
+def check(lengths, window):
+    stock = Stock(lengths, window)
+    fixed = reduce(stock, window)
+    rest = [length for length in stock.descending() for _ in range(stock.counts[length])]
+    assert sorted([lengths[i] for own in fixed for i in own] + rest) == sorted(lengths)
+    assert all(0 < sum(lengths[i] for i in own) <= window for own in fixed)
+    assert len(fixed) + fewest(rest, window) == fewest(lengths, window)
+    return len(fixed)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(6, 40), st.lists(st.integers(1, 40), max_size=9))
+def test_fixed_sequences_belong_to_a_best_packing(window, lengths):
+    check([min(x, window) for x in lengths], window)
+
+
+def test_pairs_and_triples_are_fixed():
+    rng = random.Random(8)
+    assert sum(check([rng.randint(9, 30) for _ in range(9)], 40) for _ in range(150)) > 300
+    assert sorted(map(len, reduce(Stock([30, 15, 16, 45], 60), 60))) == [2, 2]
+    assert [len(own) for own in reduce(Stock([50, 25, 24], 100), 100)] == [3]  # the pair 25, 24 beside 50
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=60))
+def test_best_fit_takes_the_tightest_sequence(lengths):
+    sequences, want = best_fit(Stock(lengths, 64), 64), []
+    for length in sorted(lengths, reverse=True):
+        fitting = [own for own in want if sum(own) + length <= 64]
+        if fitting:
+            tightest = max(map(sum, fitting))
+            next(own for own in fitting if sum(own) == tightest).append(length)
+        else:
+            want.append([length])
+    assert len(sequences) == len(want)
+    assert sorted(sum(lengths[i] for i in own) for own in sequences) == sorted(map(sum, want))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=60))
+def test_sequences_have_no_gaps(lengths):
+    windows = defaultdict(list)
+    for length, number, offset in zip(lengths, *arrange(lengths, 64), strict=True):
+        windows[number].append((offset, length))
+    for own in windows.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))] and sum(n for _, n in own) <= 64
+
+
+def test_odd_rows(odd):
+    rows = pack(odd, PATH, end_id=1, window=64, group_pieces=200).collect()
+    whole = Tokenizer.from_file(PATH)
+    want = []
+    for r in odd.collect():
+        ids = [*whole.encode(r.text or "", add_special_tokens=False).ids, 1]
+        want += [(r.doc_id, at // 64, at, len(ids[at:at + 64]), crc32(packed(ids[at:at + 64]))) for at in range(0, len(ids), 64)]
+    assert sorted(map(str, want)) == sorted(str(tuple(r)[:5]) for r in rows)
+    windows = defaultdict(list)
+    for r in rows:
+        windows[r.sequence_id].append((r.offset, r.length))
+    for own in windows.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))] and sum(n for _, n in own) <= 64
+
+
+def test_query_needs_few_more_sequences_than_tokens_do(spark):
+    rows = QUERIES["op12_reduced_packing"](spark, "/root/testdata/sf0.01").collect()
+    assert len({r.sequence_id for r in rows}) <= -(-sum(r.length for r in rows) // 4096) + 1
+    assert {r.doc_id for r in rows} == {r.doc_id for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+
+
+def test_empty_table(odd):
+    assert pack(odd.limit(0), PATH, 1).count() == 0
