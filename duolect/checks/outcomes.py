@@ -25,9 +25,9 @@ def _earlier_runs(spark, sf):
     rows = (_keyed(manifest_dirty(spark, sf)).withColumnRenamed("id", "raw_id")
             .withColumns({"direction": F.lit(cfg.direction), "idx": F.col("row_no"),
                           "status": F.when(F.col("done"), "ok").otherwise("error")}))
-    tables.write_outcomes(to_outcome(rows, "run-first"), cfg)
+    tables.write_outcomes(to_outcome(rows, "run-first"), cfg, "run-first")
     tables.commit_run(spark, cfg, "run-first")
-    tables.write_outcomes(to_outcome(rows.withColumn("status", F.lit("ok")), "run-killed"), cfg)
+    tables.write_outcomes(to_outcome(rows.withColumn("status", F.lit("ok")), "run-killed"), cfg, "run-killed")
     return cfg
 
 

@@ -58,6 +58,15 @@ def repeat_ranks(df: DataFrame, keys: tuple[str, ...] = KEY, order: str = "idx")
     return with_row_index(repeated, order, keys, restart=True, name="rank").select(order, "rank")
 
 
+def across_batches(df: DataFrame, batch: str, keys: tuple[str, ...] = KEY, order: str = "idx") -> DataFrame:
+    """``(order, later)`` of the rows whose key has rows in several batches: ``later`` is
+    false in the key's first batch. Only key columns are read."""
+    narrow = df.select(*keys, order, batch)
+    shared = (narrow.groupBy(*keys).agg(F.min(batch).alias("_first"), F.max(batch).alias("_last"))
+              .where("_first < _last").drop("_last"))
+    return narrow.join(shared, list(keys)).select(order, (F.col(batch) > F.col("_first")).alias("later"))
+
+
 def rank_within_key(df: DataFrame, keys: tuple[str, ...] = KEY, order: str = "idx",
                     ranks: DataFrame | None = None) -> DataFrame:
     """Add ``rank``; most keys have a single row, which is its key's rank 0."""
