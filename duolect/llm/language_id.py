@@ -162,6 +162,13 @@ def predict_languages(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` for the documents in which a language was recognised."""
-    found = identify(boxed(docs, F.col("text").cast("string").alias("text")), _learnt(docs))
+    """The columns of ``docs`` for the documents in which a language was recognised.
+
+    Where no document has a language to learn from, none can be told from another: then
+    just the documents without a letter go, as they do otherwise.
+    """
+    profiles = _learnt(docs)
+    if not profiles:
+        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
+    found = identify(boxed(docs, F.col("text").cast("string").alias("text")), profiles)
     return unboxed(found.where(F.col("lang_pred") != UNKNOWN), docs)

@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from duolect.llm.common import attach, bound_batches, boxed, unboxed, whole
 from duolect.llm.graph import components
@@ -61,17 +62,22 @@ def _hashes(parts: list[bytes], words: int) -> Iterator[list[int]]:
         yield [digest(joined[a:b], SEED) for a, b in zip(starts, (ends[words - 1:] - 1).tolist(), strict=False)]
 
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id and fp, one row per document."""
-    bound_batches(docs.sparkSession)
+def fingerprinted(rows: DataFrame, words: int = 4) -> DataFrame:
+    """All columns of ``rows`` but the last, its text as bytes, and ``fp`` instead."""
+    bound_batches(rows.sparkSession)
+    schema = StructType([*rows.schema.fields[:-1], StructField("fp", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(text.as_buffer().to_pybytes(), words) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], ["doc_id", "fp"])
+            values = [fingerprint(text.as_buffer().to_pybytes(), words) for text in batch.columns[-1]]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(values, pa.int64())], schema.names)
+
+    return rows.mapInArrow(run, schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole("text").cast("binary").alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+
+def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
+    """doc_id and fp, one row per document."""
+    return fingerprinted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole("text").cast("binary").alias("text")), words)
 
 
 def _counts(fp: Column, half: int) -> Column:
@@ -207,15 +213,21 @@ def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame
 def keep_one(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame:
     """The document with the smallest id of each component, with all columns of ``docs``.
 
-    Rows without a doc_id stay; of rows that repeat a doc_id that stays, one is kept.
+    Rows without a doc_id stay. A doc_id may come up with several texts: each goes or
+    stays with its own component, and where several of them would stay for one component,
+    or a row repeats, the one with the least fingerprint does.
     """
     found = materialize(near_duplicates(docs, words, bits), "simhash-result")
-    gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "simhash-gone")
-    twice = materialize(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("gone")).count().where("count > 1")
-                        .select("gone"), "simhash-twice")
+    several = materialize(found.where("doc_id is not null").groupBy(F.col("doc_id").alias("gone")).count().where("count > 1").select("gone"),
+                          "simhash-several")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone"))
+    boxes = boxed(docs, F.col("doc_id").cast("long").alias("doc_id"), whole("text").cast("binary").alias("text"))
     where = F.col("doc_id") == F.col("gone")
-    kept = boxed(docs, F.col("doc_id")).join(gone, where, "left_anti")
-    if not twice.isEmpty():
-        once = kept.join(twice, where, "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(twice, where, "left_anti").unionByName(once)
+    kept = boxes.drop("text").join(materialize(gone.unionByName(several).distinct(), "simhash-gone"), where, "left_anti").select("row")
+    if not several.isEmpty():
+        best = found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("fingerprint").alias("least"))
+        rows = fingerprinted(boxes.join(several, where, "left_semi").select("row", "doc_id", "text"), words)
+        first = (F.col("own.doc_id") == F.col("best.doc_id")) & (F.lpad(F.lower(F.hex("fp")), 16, "0") == F.col("least"))
+        once = rows.alias("own").join(best.alias("best"), first, "left_semi").dropDuplicates(["doc_id"])
+        kept = kept.unionByName(once.select("row"))
     return unboxed(kept, docs)

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from duolect.llm.language_id import GAP, Nearest, counted, keep_identified, learn, ngrams, predict_languages, ranked
 
@@ -70,3 +71,9 @@ def test_odd_rows(odd):
     kept = keep_identified(odd)
     assert kept.columns == odd.columns and {0, 1, 2, 8}.isdisjoint(r.doc_id for r in kept.collect())
     assert predict_languages(odd.limit(0)).count() == 0
+
+
+def test_without_languages_to_learn_only_letterless_texts_go(odd):
+    rows = odd.withColumn("lang", F.lit(None).cast("string"))
+    assert [r.doc_id for r in keep_identified(rows).collect()].count(None) == 1
+    assert sorted(r.doc_id for r in keep_identified(rows).collect() if r.doc_id is not None) == [3, 3, 3, 4, 5, 6, 7, 9, 10]
