@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from duolect.llm import exact_dedup, language_id, line_dedup, near_copies, packing
+from duolect.llm import exact_dedup, language_id, line_dedup, packing, simhash
 from duolect.llm.common import table
 from duolect.session import materialize, ship_package
 
@@ -30,9 +30,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a likeness of 0.8 in five-word shingles the one with the smallest id stays."""
+    """Of documents whose fingerprints links of at most four differing bits join the one with the smallest id stays."""
     ship_package(spark)
-    return near_copies.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
