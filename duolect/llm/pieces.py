@@ -7,9 +7,10 @@ minus infinity if it is not like that, and each piece weighs minus one, so that
 path's weight is its number of pieces.
 
 A giant text is cut into chunks. Each chunk gives a transfer matrix from the pieces
-that may lie across its left edge to those that may lie across its right edge. Matrices
-are combined from left to right, the best path is traced back over the edges alone, and
-then every chunk is encoded by itself between its two known pieces. Between words no
+that may lie across its left edge to those that may lie across its right edge. Max-plus
+products of neighbours are formed in rounds, the best path is traced back over the edges
+alone, from the last round to the first, and then every chunk is encoded by itself between
+its two known pieces. A text of one chunk has no inner edge: it is the library's. Between words no
 piece can cross, so all that is done piece by piece is the word an edge cuts, and the
 rest of a chunk is encoded by the library.
 """
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
@@ -29,12 +31,16 @@ from duolect.session import materialize
 
 CHUNK = 1 << 15
 KNOWN_WORDS = 250_000
+# Neighbouring matrices that one task multiplies or traces.
+FAN = 64
 # The format's mark for a space, and a private character that no vocabulary has.
 SPACE = "▁"
 ALONE = "\ue000"
 # A piece across an edge: its text, and how many of its characters lie beyond. Between words there is none.
 State = tuple[str, int]
 NONE: State = ("", 0)
+# Entry, exit and weight wherever a path leads through.
+Matrix = list[tuple[State, State, int]]
 
 _CODERS: dict[str, Coder] = {}
 
@@ -91,6 +97,11 @@ class Coder:
             return packed(self.model.encode(text[1:]) if len(text) > 1 else self.alone(text))
         return self.words.of(words)
 
+    def wholes(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts, the mark before each one included."""
+        found = self.model.encode([text[1:] for text in texts], num_threads=1)
+        return [packed(ids) if len(text) != 1 else packed(self.alone(text)) for text, ids in zip(texts, found, strict=True)]
+
     def decode(self, ids: bytes) -> str:
         """The stretch of text that ids stand for, spaces marked."""
         return b"".join(self.bytes[i] for i in memoryview(ids).cast("I")).decode("utf-8", "replace")
@@ -157,7 +168,7 @@ class Chunk:
         return {(piece, end - self.right): len(paths.trace(end, piece)) for end, found in paths.ends.items() if end >= self.right
                 for piece in found if end - len(piece) < self.right and end > paths.start}
 
-    def matrix(self) -> list[tuple[State, State, int]]:
+    def matrix(self) -> Matrix:
         """Entry, exit and weight (minus the number of pieces that start within) wherever a path leads."""
         known, found = self.known, []
         tail: dict[State, int] = {}
@@ -204,19 +215,34 @@ class Chunk:
         return self.text[self.left + entry[1]:max(self.right + leave[1], self.left + entry[1])]
 
 
-def through(matrices: list[list[tuple[State, State, int]]]) -> list[State]:
-    """The states at all edges, ends included, of the best path through the matrices."""
-    best: dict[State, int] = {NONE: 0}
+def product(first: Matrix, second: Matrix) -> Matrix:
+    """The max-plus product: the best weight from each entry of the first to each exit of the second.
+
+    It is associative: matrices of neighbouring chunks may be multiplied in any grouping.
+    """
+    onward: dict[State, list[tuple[State, int]]] = {}
+    for entry, leave, weight in second:
+        onward.setdefault(entry, []).append((leave, weight))
+    best: dict[tuple[State, State], int] = {}
+    for entry, between_, weight in first:
+        for leave, more in onward.get(between_, ()):
+            best[entry, leave] = max(best.get((entry, leave), -(1 << 62)), weight + more)
+    return [(entry, leave, weight) for (entry, leave), weight in best.items()]
+
+
+def through(matrices: list[Matrix], entry: State = NONE, leave: State = NONE) -> list[State]:
+    """The states at all edges of the best path through the matrices between two known ones."""
+    best: dict[State, int] = {entry: 0}
     steps: list[dict[State, State]] = []
     for matrix in matrices:
         after: dict[State, int] = {}
         step: dict[State, State] = {}
-        for entry, leave, weight in matrix:
-            if entry in best and best[entry] + weight > after.get(leave, -(1 << 62)):
-                after[leave], step[leave] = best[entry] + weight, entry
+        for start, end, weight in matrix:
+            if start in best and best[start] + weight > after.get(end, -(1 << 62)):
+                after[end], step[end] = best[start] + weight, start
         best = after
         steps.append(step)
-    states = [NONE]
+    states = [leave]
     for step in reversed(steps):
         states.append(step[states[-1]])
     return states[::-1]
@@ -249,15 +275,56 @@ def _edges(chunks: DataFrame, model: str) -> DataFrame:
                      for parts in zip(*(batch.column(c).to_pylist() for c in ("left", "body", "right")), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.string())], ["doc_id", "text_hash", "chunk", "matrix"])
 
-    def scan(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("chunk").sort_values("chunk")
-        states = through([[(tuple(a), tuple(b), w) for a, b, w in json.loads(m)] for m in group["matrix"]])
-        return group.assign(entry=[json.dumps(s) for s in states[:-1]], leave=[json.dumps(s) for s in states[1:]]).drop(columns="matrix")
+    level = materialize(chunks.select("doc_id", "text_hash", "chunk", "left", "body", "right").mapInArrow(
+        run, "doc_id long, text_hash long, chunk int, matrix string"), "pieces-matrices")
+    return _scan(level)
+
+
+def _scan(matrices: DataFrame, fan: int = FAN) -> DataFrame:
+    """Entry and exit of every chunk from the matrices of all: a parallel scan.
+
+    Going up, the matrices of ``fan`` neighbours are multiplied into one, until a text has
+    at most that many; the best path through these fixes the states at their edges. Going
+    down, each group finds the states within it. No task has more than ``fan`` matrices of a text.
+    """
+    last = matrices.agg(F.max("chunk")).first()[0]
+    levels = [matrices]
+    while (last or 0) >= fan:
+        last //= fan
+        grouped = levels[-1].withColumn("block", F.floor(F.col("chunk") / fan).cast("int")).groupBy("doc_id", "text_hash", "block")
+        levels.append(materialize(grouped.applyInPandas(_multiplied, "doc_id long, text_hash long, chunk int, matrix string"), "pieces-products"))
+    none = F.lit(json.dumps(NONE))
+    states = "doc_id long, text_hash long, chunk int, entry string, leave string"
+    tops = levels[-1].select("*", F.lit(0).alias("block"), none.alias("from"), none.alias("to"))
+    found = tops.groupBy("doc_id", "text_hash", "block").applyInPandas(_traced, states)
+    for level in reversed(levels[:-1]):
+        above = materialize(found, "pieces-states").select(
+            "doc_id", "text_hash", F.col("chunk").alias("block"), F.col("entry").alias("from"), F.col("leave").alias("to"))
+        own = level.withColumn("block", F.floor(F.col("chunk") / fan).cast("int"))
+        where = same(F.col("own.doc_id"), F.col("above.doc_id")) & (F.col("own.text_hash") == F.col("above.text_hash")) & (
+            F.col("own.block") == F.col("above.block"))
+        joined = own.alias("own").join(above.alias("above"), where).select("own.*", "from", "to")
+        found = joined.groupBy("doc_id", "text_hash", "block").applyInPandas(_traced, states)
+    return found
+
+
+def _in_order(group: pd.DataFrame) -> tuple[pd.DataFrame, list[Matrix]]:
+    """A group's matrices in order; rows that repeat a text give it once."""
+    group = group.drop_duplicates("chunk").sort_values("chunk")
+    return group, [[(tuple(a), tuple(b), w) for a, b, w in json.loads(m)] for m in group["matrix"]]
+
+
+def _multiplied(group: pd.DataFrame) -> pd.DataFrame:
+    group, matrices = _in_order(group)
+    return group.head(1).assign(chunk=group["block"].iloc[0], matrix=json.dumps(reduce(product, matrices))).drop(columns="block")
+
 
-    matrices = chunks.select("doc_id", "text_hash", "chunk", "left", "body", "right").mapInArrow(
-        run, "doc_id long, text_hash long, chunk int, matrix string")
-    # A text has at most 2**31 bytes, so at most 2**31 / chunk small matrices meet here.
-    return matrices.groupBy("doc_id", "text_hash").applyInPandas(scan, "doc_id long, text_hash long, chunk int, entry string, leave string")
+def _traced(group: pd.DataFrame) -> pd.DataFrame:
+    group, matrices = _in_order(group)
+    ends = (tuple(json.loads(group[c].iloc[0])) for c in ("from", "to"))
+    states = through(matrices, *ends)
+    return group[["doc_id", "text_hash", "chunk"]].assign(
+        entry=[json.dumps(s) for s in states[:-1]], leave=[json.dumps(s) for s in states[1:]])
 
 
 def encode(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
@@ -284,10 +351,12 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(model)
         for batch in batches:
+            parts = list(zip(*(batch.column(c).to_pylist() for c in names[3:]), strict=True))
+            wholes = iter(own.wholes([body for left, body, right, *_ in parts if not (left or right)]))
             ids, restored = [], []
-            for left, body, right, entry, leave in zip(*(batch.column(c).to_pylist() for c in names[3:]), strict=True):
-                if not (left or right):  # a whole text is a stretch of words
-                    ids.append(own.stretch(body) if body else b"")
+            for left, body, right, entry, leave in parts:
+                if not (left or right):  # one chunk: the only path through it is the library's
+                    ids.append(next(wholes))
                     restored.append(own.decode(ids[-1]) == body)
                     continue
                 part, at = Chunk(own, left, body, right), (tuple(json.loads(entry)), tuple(json.loads(leave)))
