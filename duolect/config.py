@@ -18,7 +18,8 @@ class JobConfig:
     ``shard_idx=None`` builds every shard in a single job; ``max_samples=0``
     means no per-shard limit; ``tiers=None`` leaves the tier filter off. Model stages
     get a task for every ``rows_per_task`` rows, and every ``rows_per_commit`` rows are
-    committed by themselves. ``shuffle_seed`` shuffles the manifest before it is dealt
+    committed by themselves. A model with a batch method gets at most ``audio_budget``
+    samples or ``text_budget`` characters in one call. ``shuffle_seed`` shuffles the manifest before it is dealt
     out, and ``summary_files`` sets the number of files of a debug summary.
     """
 
@@ -45,6 +46,8 @@ class JobConfig:
     inference_partitions: int | None = None
     rows_per_task: int = 512
     rows_per_commit: int = 200_000
+    audio_budget: int = 16 * 30 * SOURCE_RATE
+    text_budget: int = 1 << 16
     min_token_frames: int = 1
     multi_line: bool = True
     shuffle_seed: int | None = None
@@ -62,8 +65,8 @@ class JobConfig:
             raise ValueError(f"direction {self.direction!r} does not start from {self.lang!r}")
         if self.shard_idx is not None and not 0 <= self.shard_idx < max(self.num_shards, 1):
             raise ValueError(f"shard_idx {self.shard_idx} is outside 0..{self.num_shards - 1}")
-        if min(self.rows_per_task, self.rows_per_commit) < 1:
-            raise ValueError("rows_per_task and rows_per_commit must be positive")
+        if min(self.rows_per_task, self.rows_per_commit, self.audio_budget, self.text_budget) < 1:
+            raise ValueError("rows_per_task, rows_per_commit and the budgets must be positive")
         if self.max_samples < 0:
             raise ValueError("max_samples must be 0 (off) or positive")
 

@@ -30,6 +30,9 @@ from duolect.operators.guards import ERROR_COLUMNS, apply_guards, lang_pair_know
 # Rows handled and handed back at a time: audio is large, so its chunks stay small.
 AUDIO_ROWS = 16
 TEXT_ROWS = 256
+# What a model gets in one call: so many samples of audio, or characters, padding included.
+AUDIO_BUDGET = AUDIO_ROWS * 30 * SOURCE_RATE
+TEXT_BUDGET = 1 << 16
 
 _LOADED: dict[tuple[str, str], Any] = {}
 
@@ -83,21 +86,89 @@ def _describe(problem: Exception) -> dict[str, str]:
     return {"error_kind": kind, "error_msg": message, "error": shown}
 
 
+def _no_memory(problem: Exception) -> bool:
+    """Out of memory, of the host or as a device's library reports it."""
+    return isinstance(problem, MemoryError) or type(problem).__name__ == "OutOfMemoryError"
+
+
+def attempt(apply: Callable[[], Any]) -> Any:
+    """The result of a call on one row, or its error: one bad row must not stop the others."""
+    try:
+        return apply()
+    except Exception as problem:
+        if isinstance(problem, ModelUnavailable) or _no_memory(problem):
+            raise
+        return problem
+
+
+def by_cost(costs: Sequence[int], budget: int) -> Iterator[list[int]]:
+    """Positions in batches of like cost, cheapest first. Items are padded to the dearest of their
+    batch, and all of it stays within the budget, but for an item that exceeds it alone."""
+    batch: list[int] = []
+    for i in sorted(range(len(costs)), key=costs.__getitem__):
+        if batch and costs[i] * (len(batch) + 1) > budget:
+            yield batch
+            batch = []
+        batch.append(i)
+    if batch:
+        yield batch
+
+
+def in_batches(items: Sequence[Any], one: Callable[[Any], Any], many: Callable[[list[Any]], Sequence[Any]] | None,
+               cost: Callable[[Any], int], budget: int) -> list[Any]:
+    """What a model makes of the items, in their order, an error in place of a failed one's.
+
+    ``many`` gets batches of like cost within the budget. One that fails is halved, for
+    want of memory too, down to single items, which go to ``one``; a single item that is
+    too large for the memory, and a model that cannot be built, fail the task.
+    """
+    results: list[Any] = [None] * len(items)
+
+    def go(at: list[int]) -> None:
+        if many is None or len(at) == 1:
+            for i in at:
+                results[i] = attempt(lambda i=i: one(items[i]))
+            return
+        try:
+            for i, found in zip(at, many([items[i] for i in at]), strict=True):
+                results[i] = found
+            return
+        except ModelUnavailable:
+            raise
+        except Exception:
+            logging.warning("a call with %d rows failed; its halves are tried", len(at), exc_info=True)
+        go(at[:len(at) // 2])
+        go(at[len(at) // 2:])
+
+    for batch in by_cost([cost(item) for item in items], budget):
+        go(batch)
+    return results
+
+
+def onward(values: Sequence[Any], stage: Callable[[list[Any]], Sequence[Any]]) -> list[Any]:
+    """A stage over the values that are no errors; these stay in place."""
+    good = [i for i, value in enumerate(values) if not isinstance(value, Exception)]
+    results = list(values)
+    for i, found in zip(good, stage([values[i] for i in good]), strict=True):
+        results[i] = found
+    return results
+
+
 def infer_map(df: DataFrame, apply: Callable[[Any, dict], dict], inputs: Sequence[str],
               outputs: str, teachers: Teachers | None = None, drop: Sequence[str] = (),
-              apply_many: Callable[[Any, list[dict]], list[dict]] | None = None,
+              apply_many: Callable[[Any, list[dict]], Sequence[Any]] | None = None,
               profile: ResourceProfile | None = None, chunk_rows: int = AUDIO_ROWS,
               stages: Sequence[str] = ()) -> DataFrame:
     """Add ``outputs`` (a DDL string) by calling ``apply(teachers, row)`` on each row.
 
-    ``row`` holds the ``inputs`` columns. ``apply_many`` may handle a chunk in one
-    call; should it raise, the halves are tried, down to the row at fault. Rows
+    ``row`` holds the ``inputs`` columns. ``apply_many`` may handle the rows of a chunk
+    together and give an error in place of a row's result (see ``in_batches``). Rows
     already in error are passed on without a call. ``profile`` asks the cluster for
     the resources of this stage, such as one GPU per task.
 
     Only faults of a row make an error row. The models of ``stages`` are built before
-    a task's first call, and a model that cannot be built, or memory that runs out,
-    fails the task and with it the job.
+    a task's first call, and a model that cannot be built, or a row too large for the
+    memory, fails the task and with it the job.
     """
     errors = "error_kind string, error_msg string, error string"
     added = StructType.fromDDL(f"{outputs}, {errors}")
@@ -108,25 +179,10 @@ def infer_map(df: DataFrame, apply: Callable[[Any, dict], dict], inputs: Sequenc
     schema = StructType([source.schema[c] for c in kept] + added.fields)
     arrow = to_arrow_schema(added)
 
-    def attempt(row: dict) -> dict:
-        try:
-            return apply(teachers, row)
-        except (ModelUnavailable, MemoryError):
-            raise
-        except Exception as problem:  # one bad row must not stop the others
-            return _describe(problem)
-
     def call(rows: list[dict]) -> list[dict]:
-        if apply_many is None or len(rows) < 2:
-            return [attempt(row) for row in rows]
-        try:
-            return apply_many(teachers, rows)
-        except (ModelUnavailable, MemoryError):
-            raise
-        except Exception:
-            logging.warning("a call with %d rows failed; its halves are tried", len(rows), exc_info=True)
-        half = len(rows) // 2
-        return call(rows[:half]) + call(rows[half:])
+        found = (apply_many(teachers, rows) if apply_many and rows else
+                 [attempt(lambda row=row: apply(teachers, row)) for row in rows])
+        return [_describe(x) if isinstance(x, Exception) else x for x in found]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -176,42 +232,111 @@ def transcribe(teachers: Teachers, waveform: np.ndarray, rate: int, lang: str) -
     return teachers.get("asr").transcribe(waveform, rate, lang).strip()
 
 
-def embed_speaker(teachers: Teachers, waveform: np.ndarray, rate: int) -> np.ndarray:
-    require_wave(waveform, rate, SOURCE_RATE, "speaker")
-    vector = squeeze_leading(teachers.get("speaker").embed(waveform, rate), 1)
+def transcribe_many(teachers: Teachers, waveforms: Sequence[np.ndarray], rate: int, langs: Sequence[str],
+                    budget: int = AUDIO_BUDGET) -> list[Any]:
+    """Transcripts or errors, through the model's ``transcribe_batch(waveforms, sr, languages)`` if it has one."""
+    batched = getattr(teachers.get("asr"), "transcribe_batch", None)
+
+    def many(items: list[tuple]) -> list[str]:
+        waves = [require_wave(wave, rate, SOURCE_RATE, "asr") for wave, _ in items]
+        return [text.strip() for text in batched(waves, rate, [lang for _, lang in items])]
+
+    return in_batches(list(zip(waveforms, langs, strict=True)), lambda x: transcribe(teachers, x[0], rate, x[1]),
+                      batched and many, lambda x: len(x[0]), budget)
+
+
+def _vector(values: np.ndarray) -> np.ndarray:
+    vector = squeeze_leading(values, 1)
     if vector.ndim != 1:
         raise ValueError(f"speaker vector must be 1D, got shape {vector.shape}")
     return vector.astype(np.float32)
 
 
+def embed_speaker(teachers: Teachers, waveform: np.ndarray, rate: int) -> np.ndarray:
+    require_wave(waveform, rate, SOURCE_RATE, "speaker")
+    return _vector(teachers.get("speaker").embed(waveform, rate))
+
+
+def embed_many(teachers: Teachers, waveforms: Sequence[np.ndarray], rate: int, budget: int = AUDIO_BUDGET) -> list[Any]:
+    """Vectors or errors, through the model's ``embed_batch(waveforms, sr)`` if it has one."""
+    batched = getattr(teachers.get("speaker"), "embed_batch", None)
+
+    def many(waves: list[np.ndarray]) -> list[np.ndarray]:
+        return [_vector(v) for v in batched([require_wave(wave, rate, SOURCE_RATE, "speaker") for wave in waves], rate)]
+
+    return in_batches(waveforms, lambda wave: embed_speaker(teachers, wave, rate), batched and many, len, budget)
+
+
+def _speech(model: Any, waveform: np.ndarray) -> np.ndarray:
+    speech = np.asarray(waveform, np.float32)
+    if speech.ndim == 2:
+        speech = speech.mean(axis=0)
+    return require_wave(speech, getattr(model, "sample_rate", TARGET_RATE), TARGET_RATE, "synthesizer")
+
+
+def _require_text(text: str | None) -> str:
+    if not (text or "").strip():
+        raise ValueError(T.EMPTY_TARGET)
+    return text
+
+
 def synthesize(teachers: Teachers, text: str, vector: np.ndarray, lang: str,
                prompt: np.ndarray, exaggeration: float) -> np.ndarray:
     """Speech of ``text`` in the voice of the source clip, mono at the target rate."""
-    if not (text or "").strip():
-        raise ValueError(T.EMPTY_TARGET)
+    model = teachers.get("synthesizer") if _require_text(text) else None
+    return _speech(model, model.synthesize(text, vector, lang, prompt, exaggeration))
+
+
+def synthesize_many(teachers: Teachers, items: Sequence[tuple[str, np.ndarray, str, np.ndarray]], exaggeration: float,
+                    budget: int = TEXT_BUDGET) -> list[Any]:
+    """Speech or errors of (text, vector, language, prompt), through the model's
+    ``synthesize_batch(texts, vectors, languages, prompts, exaggeration)`` if it has one."""
     model = teachers.get("synthesizer")
-    speech = np.asarray(model.synthesize(text, vector, lang, prompt, exaggeration), np.float32)
-    if speech.ndim == 2:
-        speech = speech.mean(axis=0)
-    return require_wave(speech, getattr(model, "sample_rate", TARGET_RATE), TARGET_RATE, "synthesizer")
+    batched = getattr(model, "synthesize_batch", None)
 
+    def many(some: list[tuple]) -> list[np.ndarray]:
+        texts, vectors, langs, prompts = (list(c) for c in zip(*some, strict=True))
+        return [_speech(model, x) for x in batched([_require_text(t) for t in texts], vectors, langs, prompts, exaggeration)]
 
-def tokenize(teachers: Teachers, waveform: np.ndarray, rate: int, bandwidth: float) -> np.ndarray:
-    """Codebook indices ``[codebook, frame]`` of a waveform at the codec's own rate."""
-    model = teachers.get("tokenizer")
+    return in_batches(items, lambda x: synthesize(teachers, *x, exaggeration), batched and many, lambda x: len(x[0] or ""), budget)
+
+
+def _codec_input(model: Any, waveform: np.ndarray, rate: int) -> np.ndarray:
     waveform = require_wave(waveform, rate, rate, "tokenizer")
     if rate != model.sample_rate:
         waveform = resample(waveform, rate, model.sample_rate).astype(np.float32)
-    batch = np.repeat(waveform[None, None, :], getattr(model, "channels", 1), axis=1)
-    codes = np.asarray(model.encode(batch, bandwidth))
+    return np.repeat(waveform[None, None, :], getattr(model, "channels", 1), axis=1)
+
+
+def _codes(values: np.ndarray) -> np.ndarray:
+    codes = np.asarray(values)
     if codes.ndim != 3:
         raise ValueError(f"tokenizer must return [batch, codebook, frame], got shape {codes.shape}")
     return squeeze_leading(codes, 2).astype(np.int64)
 
 
+def tokenize(teachers: Teachers, waveform: np.ndarray, rate: int, bandwidth: float) -> np.ndarray:
+    """Codebook indices ``[codebook, frame]`` of a waveform at the codec's own rate."""
+    model = teachers.get("tokenizer")
+    return _codes(model.encode(_codec_input(model, waveform, rate), bandwidth))
+
+
+def tokenize_many(teachers: Teachers, waveforms: Sequence[np.ndarray], rate: int, bandwidth: float,
+                  budget: int = AUDIO_BUDGET) -> list[Any]:
+    """Codes or errors, through the model's ``encode_batch(waves[1, C, T] each, bandwidth)``
+    if it has one; clips differ in length, so each comes and goes by itself."""
+    model = teachers.get("tokenizer")
+    batched = getattr(model, "encode_batch", None)
+
+    def many(waves: list[np.ndarray]) -> list[np.ndarray]:
+        return [_codes(x) for x in batched([_codec_input(model, wave, rate) for wave in waves], bandwidth)]
+
+    return in_batches(waveforms, lambda wave: tokenize(teachers, wave, rate, bandwidth), batched and many, len, budget)
+
+
 def translate_texts(df: DataFrame, teachers: Teachers, languages: Sequence[str],
                     text: str = "src_text", partitions: int | None = None,
-                    profile: ResourceProfile | None = None) -> DataFrame:
+                    profile: ResourceProfile | None = None, budget: int = TEXT_BUDGET) -> DataFrame:
     """Add ``tgt_text``: blank text gives ``""`` without a call, every distinct text
     of a language pair is translated once, and unknown pairs are error rows.
 
@@ -230,15 +355,16 @@ def translate_texts(df: DataFrame, teachers: Teachers, languages: Sequence[str],
         model = models.get("translator")
         return {"_tgt": model.translate(row[text], row["src_lang"], row["tgt_lang"]).strip()}
 
-    def many(models: Teachers, rows: list[dict]) -> list[dict]:
+    def many(models: Teachers, rows: list[dict]) -> list[Any]:
         batched = getattr(models.get("translator"), "translate_batch", None)
-        if batched is None:
-            return [one(models, row) for row in rows]
-        done: list[dict] = [{} for _ in rows]
+        done: list[Any] = [None] * len(rows)
         for src, tgt in {(r["src_lang"], r["tgt_lang"]) for r in rows}:
             at = [i for i, r in enumerate(rows) if (r["src_lang"], r["tgt_lang"]) == (src, tgt)]
-            for i, out in zip(at, batched([rows[i][text] for i in at], src, tgt), strict=True):
-                done[i] = {"_tgt": out.strip()}
+            together = batched and (lambda some, src=src, tgt=tgt: [
+                {"_tgt": out.strip()} for out in batched([r[text] for r in some], src, tgt)])
+            found = in_batches([rows[i] for i in at], lambda row: one(models, row), together, lambda row: len(row[text]), budget)
+            for i, out in zip(at, found, strict=True):
+                done[i] = out
         return done
 
     named = distinct.withColumn("_text_key", F.sha2(text, 256))

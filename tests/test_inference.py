@@ -1,5 +1,7 @@
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from doubles import CountingSpeaker, Unbuildable, WholeBatchTranslator
@@ -117,3 +119,56 @@ def test_the_first_failing_guard_is_reported(spark):
     assert [r.status for r in rows] == ["error", "error", "ok"]
     again = apply_guards(apply_guards(df, checks[1]), checks[0]).collect()
     assert again[0].error_msg.startswith("[chatterbox-tts]")
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 50), max_size=30), st.integers(1, 120))
+def test_batches_hold_all_items_within_the_budget(costs, budget):
+    batches = list(I.by_cost(costs, budget))
+    assert sorted(i for batch in batches for i in batch) == list(range(len(costs)))
+    assert all(len(batch) == 1 or max(costs[i] for i in batch) * len(batch) <= budget for batch in batches)
+    ordered = [costs[i] for batch in batches for i in batch]
+    assert ordered == sorted(costs)
+
+
+@pytest.mark.parametrize("budget", [1, 7, 1000])
+def test_results_keep_the_order_of_items_for_any_budget(budget):
+    calls = []
+
+    def one(x):
+        if x == 13:
+            raise ValueError("unlucky")
+        return 2 * x
+
+    def many(xs):
+        calls.append(len(xs))
+        if len(xs) > 4:
+            raise MemoryError
+        return [one(x) for x in xs]
+
+    items = [5, 13, 0, 8, 8, 2, 40, 1]
+    found = I.in_batches(items, one, many, lambda x: x, budget)
+    assert [x if isinstance(x, int) else repr(x) for x in found] == [10, "ValueError('unlucky')", 0, 16, 16, 4, 80, 2]
+    assert I.in_batches([], one, many, lambda x: x, budget) == [] and (budget < 1000 or max(calls) == 8)
+
+
+def test_a_single_item_too_large_for_the_memory_fails_the_task():
+    def one(_):
+        raise MemoryError
+
+    with pytest.raises(MemoryError):
+        I.in_batches([1, 2], one, lambda xs: one(xs), lambda x: x, 100)
+
+    class OutOfMemoryError(RuntimeError):
+        """As a device's library names it."""
+
+    def device(_):
+        raise OutOfMemoryError
+
+    with pytest.raises(OutOfMemoryError):
+        I.in_batches([1], device, None, lambda x: x, 100)
+
+
+def test_errors_stay_in_place_from_stage_to_stage():
+    bad = ValueError("x")
+    assert I.onward([1, bad, 3], lambda xs: [x + 1 for x in xs]) == [2, bad, 4] and I.onward([bad], lambda xs: xs) == [bad]
