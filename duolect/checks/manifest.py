@@ -10,7 +10,7 @@ from duolect.operators import filters, outcomes, shards
 from duolect.plans.samples import probe_first_row
 from duolect.session import workspace
 from duolect.sources.manifest import load_manifest, scan_languages, scan_manifest
-from duolect.standins import standin_teachers
+from duolect.checks.standins import standin_teachers
 
 _ROW = "row_no, id, lang, dataset, split, tier, audio_path, round(duration_s, 6) AS duration_s"
 _KEPT = "lang = 'en' AND duration_s BETWEEN 3.0 AND 150.0"

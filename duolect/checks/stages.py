@@ -24,7 +24,7 @@ from duolect.sinks.export import write_segments
 from duolect.sinks.tables import read_errors
 from duolect.sources.clips import decode_clips, scan_clips
 from duolect.sources.done import read_dataset
-from duolect.standins import fail_on_multiple, standin_teachers
+from duolect.checks.standins import fail_on_multiple, standin_teachers
 
 
 @check("asr_text", f"WITH {VIEW} SELECT row_no, md5({sql_strip('text')}) AS text_md5 FROM manifest")

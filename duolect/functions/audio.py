@@ -80,6 +80,10 @@ def encode_wav(samples: np.ndarray, rate: int) -> bytes:
     return buffer.getvalue()
 
 
+# Frames (of as many output samples as there are phases) up to which all are summed at once.
+FEW_FRAMES = 8
+
+
 def mono(frames: np.ndarray) -> np.ndarray:
     return frames.mean(axis=1)
 
@@ -109,8 +113,12 @@ def resample(samples: np.ndarray, rate: int, target: int) -> np.ndarray:
     frames = -(-length // new)
     padded = np.zeros(frames * old + old + 2 * reach + 2)
     padded[reach:reach + samples.size] = samples
-    out = np.empty((frames, new))
     begin, width = first + reach, taps.shape[1]
+    if frames < FEW_FRAMES:  # a call for each phase would cost more than the sums
+        at = np.arange(length)
+        windows = padded[(begin[at % new] + at // new * old)[:, None] + np.arange(width)]
+        return np.einsum("ij,ij->i", windows, taps[at % new])
+    out = np.empty((frames, new))
     for phase in range(new):
         windows = np.lib.stride_tricks.sliding_window_view(padded[begin[phase]:], width)
         out[:, phase] = windows[::old][:frames] @ taps[phase]

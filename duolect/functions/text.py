@@ -27,6 +27,10 @@ _WORD_GAP = r"(?U)[\s\x1c-\x1f]++"
 _ABSOLUTE = "^(/|[A-Za-z]:/|[A-Za-z][A-Za-z0-9+.-]*://)"
 # Control, format, unassigned and private characters, and separators but for the space.
 _UNPRINTABLE = r"[\p{C}\p{Zl}\p{Zp}\p{Zs}&&[^ ]]"
+_PRINTABLE = r"[^\p{C}\p{Zl}\p{Zp}\p{Zs}]|[ ]"
+# Words to either side of the diagonal that are searched first.
+LEAST_BAND = 8
+_ODD = r"[\p{C}\p{Zl}\p{Zp}\p{Zs}&&[^ \n\r\t]]"
 
 
 def strip(text: Column) -> Column:
@@ -90,16 +94,15 @@ def text_line(text: Column) -> Column:
     return F.concat(text, F.lit("\n"))
 
 
-def _unprintable_escaped(message: Column) -> Column:
-    """Characters that Python's repr writes as hex; texts without any are left alone."""
-    def escape(char: Column) -> Column:
-        point = F.ascii(char)
+def _hex_escaped(message: Column) -> Column:
+    """Characters that Python's repr writes as hex, escaped; texts are taken apart at these only."""
+    def escape(part: Column) -> Column:
+        point = F.ascii(part)
         code = lambda mark, width: F.concat(F.lit(mark), F.lpad(F.lower(F.hex(point)), width, "0"))
         shown = F.when(point < 256, code("\\x", 2)).when(point < 65536, code("\\u", 4)).otherwise(code("\\U", 8))
-        return F.when(char.rlike(_UNPRINTABLE), shown).otherwise(char)
+        return F.when(part.rlike(_UNPRINTABLE), shown).otherwise(part)
 
-    each = F.array_join(F.transform(F.split(message, ""), escape), "")
-    return F.when(message.rlike(_UNPRINTABLE), each).otherwise(message)
+    return F.array_join(F.transform(F.regexp_extract_all(message, F.lit(f"{_UNPRINTABLE}|(?:{_PRINTABLE})++"), F.lit(0)), escape), "")
 
 
 def error_repr(kind: Column, message: Column) -> Column:
@@ -108,13 +111,13 @@ def error_repr(kind: Column, message: Column) -> Column:
     escaped = F.replace(message, F.lit("\\"), F.lit("\\\\"))
     for char, code in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         escaped = F.replace(escaped, F.lit(char), F.lit(code))
-    escaped = _unprintable_escaped(escaped)
-    has_single = F.contains(message, F.lit("'"))
-    has_double = F.contains(message, F.lit('"'))
-    single = F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'"))
-    double = F.concat(F.lit('"'), escaped, F.lit('"'))
-    return F.concat(kind, F.lit("("), F.when(has_single & ~has_double, double).otherwise(single),
-                    F.lit(")"))
+    # The first test is quick and settles most texts; each branch works the text out once.
+    odd = message.rlike(r"[^\x20-\x7e\n\r\t]") & message.rlike(_ODD)
+    quoted_twice = F.contains(message, F.lit("'")) & ~F.contains(message, F.lit('"'))
+    body = F.when(odd, _hex_escaped(escaped)).otherwise(escaped)
+    mark = F.when(quoted_twice, F.lit('"')).otherwise(F.lit("'"))
+    shown = F.when(quoted_twice, body).otherwise(F.replace(body, F.lit("'"), F.lit("\\'")))
+    return F.concat(kind, F.lit("("), mark, shown, mark, F.lit(")"))
 
 
 def debug_status(error: Column) -> Column:
@@ -128,7 +131,11 @@ def empty_source_message(sample_id: Column, text_column: str) -> Column:
 
 
 def word_edits(reference: str, hypothesis: str) -> int:
-    """Word-level edit distance; shared ends are dropped first, which is exact."""
+    """Word-level edit distance; shared ends are dropped first, which is exact.
+
+    A band around the diagonal is searched, and doubled until the distance found fits in
+    it, so time grows with the length times the distance.
+    """
     vocabulary: dict[str, int] = {}
     left, right = (np.array([vocabulary.setdefault(w, len(vocabulary)) for w in t.split()], np.int64)
                    for t in (reference, hypothesis))
@@ -142,15 +149,28 @@ def word_edits(reference: str, hypothesis: str) -> int:
     left, right = left[:len(left) - tail], right[:len(right) - tail]
     if not left.size or not right.size:
         return max(left.size, right.size)
-    column = np.arange(right.size + 1)
-    row = column.copy()
-    for word in left:
-        best = np.empty_like(row)
-        best[0] = row[0] + 1
-        best[1:] = np.minimum(row[1:] + 1, row[:-1] + (right != word))
+    band = max(abs(left.size - right.size), LEAST_BAND)
+    while (found := _banded(left, right, band)) > band:
+        band *= 2
+    return found
+
+
+def _banded(left: np.ndarray, right: np.ndarray, band: int) -> int:
+    """The edit distance of paths that stay within ``band`` of the diagonal: the true one if
+    it is no more than that, since a path of d edits never strays further than d."""
+    offsets = np.arange(-band, band + 1)
+    far = left.size + right.size + 1
+    padded = np.concatenate([np.full(band + 1, -1), right, np.full(max(left.size + band - right.size, 0) + 1, -1)])
+    row = np.where(offsets >= 0, offsets, far)
+    for i, word in enumerate(left, 1):
+        place = offsets + i
+        best = row + (padded[i:i + offsets.size] != word)
+        best[:-1] = np.minimum(best[:-1], row[1:] + 1)
+        best[place == 0] = i
+        best[(place < 0) | (place > right.size)] = far
         # an insertion chain costs one per step: a running minimum of best - position
-        row = np.minimum.accumulate(best - column) + column
-    return int(row[-1])
+        row = np.minimum.accumulate(best - offsets) + offsets
+    return int(row[band + right.size - left.size])
 
 
 @F.pandas_udf(IntegerType())

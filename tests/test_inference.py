@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from doubles import CountingSpeaker, Unbuildable, WholeBatchTranslator
 from duolect.operators import inference as I
 from duolect.operators.guards import apply_guards, source_text_present, target_text_present
-from duolect.standins import FrameTokenizer, LevelSpeaker, RampSynthesizer, TagTranslator
+from duolect.checks.standins import FrameTokenizer, LevelSpeaker, RampSynthesizer, TagTranslator
 
 
 def teachers(**changes):

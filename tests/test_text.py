@@ -77,3 +77,16 @@ def test_compare_transcripts(spark):
     rows = T.compare_transcripts(df).collect()
     assert [(r.exact_match, r.ref_words, r.word_edits, r.word_error_rate) for r in rows] == [
         (True, 3, 0, 0.0), (False, 3, 2, 2 / 3), (False, 0, 1, None), (True, 0, 0, None)]
+
+
+def test_word_edits_of_long_texts_with_few_edits():
+    rng = random.Random(2)
+    for edits in (0, 1, 7, 8, 9, 30):
+        left = [f"w{rng.randint(0, 40)}" for _ in range(400)]
+        right = list(left)
+        for _ in range(edits):
+            at = rng.randrange(len(right))
+            right[at:at + rng.randint(0, 1)] = [f"w{rng.randint(0, 40)}"] * rng.randint(0, 2)
+        assert T.word_edits(" ".join(left), " ".join(right)) == slow_edits(" ".join(left), " ".join(right))
+    long = [str(i) for i in range(30_000)]
+    assert T.word_edits(" ".join(long), " ".join(long[:9000] + ["x"] + long[9005:20_000] + ["y", "z"] + long[20_000:])) == 7
