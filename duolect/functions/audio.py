@@ -7,6 +7,7 @@ import math
 import struct
 import wave
 from functools import lru_cache
+from typing import BinaryIO
 
 import numpy as np
 
@@ -67,6 +68,32 @@ def decode_wav(content: bytes) -> tuple[np.ndarray, int]:
     return samples.reshape(-1, channels), rate
 
 
+def wav_shape(file: BinaryIO, size: int) -> tuple[int, int, int]:
+    """Rate, channels and frames of a WAV file of ``size`` bytes, from its chunk headers alone:
+    the samples are not read. A file that is none, or whose samples are cut off, is a ValueError."""
+    if file.read(12)[:4] != b"RIFF":
+        raise ValueError("Not a WAV file")
+    at, shape = 12, None
+    while at + 8 <= size:
+        file.seek(at)
+        name, length = struct.unpack("<4sI", file.read(8))
+        if name == b"fmt ":
+            _, channels, rate, _, step = struct.unpack("<HHIIH", file.read(14))
+            shape = rate, channels, step
+        elif name == b"data" and shape is not None:
+            if at + 8 + length > size or not shape[2] or length % shape[2]:
+                raise ValueError("Truncated audio data")
+            return shape[0], shape[1], length // shape[2]
+        at += 8 + length + length % 2
+    raise ValueError("No audio data")
+
+
+def resampled_size(frames: int, rate: int, target: int) -> int:
+    """How many samples ``resample`` makes of so many."""
+    divisor = math.gcd(rate, target)
+    return frames if rate == target else -(-frames * (target // divisor) // (rate // divisor))
+
+
 def encode_wav(samples: np.ndarray, rate: int) -> bytes:
     """Float samples, ``[frame]`` or ``[frame, channel]``, as 16-bit PCM WAV bytes."""
     frames = np.atleast_2d(np.asarray(samples).T).T

@@ -2,30 +2,83 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duolect.config import SOURCE_RATE
 from duolect.functions.audio import decode_wav, mono, resample
+from duolect.functions.files import clip_shape, file_system, read_clip
 from duolect.functions.text import MISSING_CLIP, listed_path
-from duolect.operators.inference import infer_map
+from duolect.operators.inference import AUDIO_ROWS, TEXT_ROWS, infer_map, spread
+from duolect.session import materialize
+
+# Entries of a folder that are handed on at a time, and tasks that list folders of one level.
+LISTED_ROWS = 4096
+MOST_LISTERS = 1024
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What lies in each folder: path, length, and whether it is a folder itself."""
+    for batch in batches:
+        for folder in batch.column(0).to_pylist():
+            system, base = file_system(folder)
+            found = system.get_file_info(fs.FileSelector(base))
+            for at in range(0, len(found), LISTED_ROWS):
+                some = found[at:at + LISTED_ROWS]
+                paths = [f"{folder.rstrip('/')}/{info.base_name}" for info in some]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(paths, pa.string()), pa.array([info.size or 0 for info in some], pa.int64()),
+                     pa.array([info.type == fs.FileType.Directory for info in some], pa.bool_())], ["path", "length", "folder"])
 
 
 def list_clips(spark: SparkSession, root: str, pattern: str = "*.wav") -> DataFrame:
-    """``(path, length)`` of the files under a folder, without reading them."""
-    return scan_clips(spark, root, pattern).select("path", "length")
+    """``(path, length)`` of the files under a folder whose names match, without reading them.
+
+    Folders are listed by tasks, one level of them after the other; the driver learns
+    how many there are and nothing else. A listing is stored, so a lost executor repeats none.
+    """
+    levels = []
+    folders = spark.createDataFrame([(root.removeprefix("file:") if root.startswith("file:/") else root,)], "path string")
+    while (count := folders.count()):
+        spread_out = folders.repartition(min(count, MOST_LISTERS), "path")
+        levels.append(materialize(spread_out.mapInArrow(_listed, "path string, length long, folder boolean"), "listing"))
+        folders = levels[-1].where("folder").select("path")
+    found = reduce(DataFrame.unionByName, levels).where("not folder")
+    shape = "^" + re.escape(pattern).replace(r"\*", "[^/]*").replace(r"\?", "[^/]") + "$"
+    return found.where(F.element_at(F.split("path", "/"), -1).rlike(shape)).select(listed_path(F.col("path")).alias("path"), "length")
 
 
 def scan_clips(spark: SparkSession, root: str, pattern: str = "*.wav") -> DataFrame:
-    """``(path, length, content)`` of a folder of clips.
+    """``(path, length, content)`` of a folder of clips, each read by the task that has its row.
 
-    The listing is held by the driver, so this suits folders of up to some millions
-    of files. A job over more takes its paths from the manifest and opens each clip
-    in the task that needs it (``functions.files.read_clip``).
+    A job takes its paths from the manifest and opens each clip in the task that needs
+    it (``functions.files.read_clip``).
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", pattern).load(root))
-    return files.select(listed_path(F.col("path")).alias("path"), "length", "content")
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, AUDIO_ROWS):
+                rows = whole.slice(at, AUDIO_ROWS)
+                content = [read_clip(path) for path in rows.column("path").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(content, pa.binary())], ["path", "length", "content"])
+
+    listed = list_clips(spark, root, pattern)
+    return spread(listed, None, "path").mapInArrow(read, "path string, length long, content binary")
+
+
+def clip_shapes(df: DataFrame, path: str = "path") -> DataFrame:
+    """Add ``rate``, ``channels``, ``frames`` and ``clip_duration_s`` of each row's clip, of
+    which only the header is read; one that cannot be read becomes an error row."""
+    def shape(_, row: dict) -> dict:
+        rate, channels, frames = clip_shape(row[path])
+        return {"rate": rate, "channels": channels, "frames": frames, "clip_duration_s": frames / rate}
+
+    return infer_map(df, shape, [path], "rate int, channels int, frames bigint, clip_duration_s double", chunk_rows=TEXT_ROWS)
 
 
 def decode_clips(df: DataFrame, target_rate: int | None = SOURCE_RATE,

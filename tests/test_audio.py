@@ -9,7 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from duolect.functions import arrays, audio
-from duolect.sources.clips import decode_clips, list_clips, scan_clips
+from duolect.sources import clips as clip_source
+from duolect.sources.clips import clip_shapes, decode_clips, list_clips, scan_clips
 
 
 def direct_resample(samples, rate, target):
@@ -125,3 +126,35 @@ def test_float_wav(kind, extensible):
     assert rate == 8000 and (got == samples.astype(np.float64)).all()
     with pytest.raises(ValueError, match="Truncated"):
         audio.decode_wav(content[:-3])
+
+
+def test_folders_are_listed_by_tasks(spark, scratch, monkeypatch):
+    import os
+    want = {}
+    for n in range(30):
+        folder = f"{scratch}/a{n % 3}/b{n % 5}" if n % 2 else f"{scratch}/a{n % 3}"
+        os.makedirs(folder, exist_ok=True)
+        with open(f"{folder}/c{n}.wav", "wb") as out:
+            out.write(b"x" * n)
+        want[f"{folder}/c{n}.wav"] = n
+    with open(f"{scratch}/a0/c.wav.txt", "wb") as out:
+        out.write(b"no clip")
+    monkeypatch.setattr(clip_source, "LISTED_ROWS", 2)
+    for root in (scratch, f"file:{scratch}", f"{scratch}/"):
+        assert {r.path: r.length for r in list_clips(spark, root).collect()} == want
+    assert [r.path for r in list_clips(spark, scratch, "c?.wav").where("length = 4").collect()] == [f"{scratch}/a1/c4.wav"]
+    assert {r.path: len(r.content) for r in scan_clips(spark, scratch).collect()} == want
+
+
+def test_shapes_come_from_headers(spark, scratch):
+    stereo = audio.encode_wav(np.zeros((800, 2)), 8000)
+    odd = stereo[:12] + b"LIST" + (5).to_bytes(4, "little") + b"notes\0" + stereo[12:]  # a chunk of odd size before the samples
+    for name, content in {"a.wav": stereo, "odd.wav": odd, "cut.wav": stereo[:-6], "no.wav": b"text", "empty.wav": b""}.items():
+        with open(f"{scratch}/{name}", "wb") as out:
+            out.write(content)
+    rows = {r.path.rsplit("/")[-1]: r for r in clip_shapes(list_clips(spark, scratch)).collect()}
+    for name in ("a.wav", "odd.wav"):
+        assert (rows[name].rate, rows[name].channels, rows[name].frames, rows[name].clip_duration_s) == (8000, 2, 800, 0.1)
+    assert rows["cut.wav"].error == "ValueError('Truncated audio data')"
+    assert rows["no.wav"].error_msg == rows["empty.wav"].error_msg == "Not a WAV file"
+    assert all(audio.resampled_size(n, r, 16000) == audio.resample(np.zeros(n), r, 16000).size for n in (0, 1, 777) for r in (8000, 16000, 44100, 22050))
