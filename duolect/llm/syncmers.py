@@ -3,9 +3,11 @@
 A k-mer is five words in a row and its inner substrings are the four pairs of
 neighbours. It is an anchor if the smallest pair, by hash, is the first or the last:
 that depends on the five words alone, so the same words give the same anchors in any
-context, and one of every two k-mers is one. Likenesses compare all anchors of two
-texts; the fingerprint is a sketch of their smallest hashes. Everything is column
-expressions.
+context, and one of every two k-mers is one. Anchors are matched by position: the
+fingerprint lists, in order, a hash of each anchor, the next one and how many words lie
+between their places, so that what two texts share are anchors in the same order at the
+same distances, wherever they begin. Likenesses are of the fingerprints' lists, whole.
+Everything is column expressions.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ from duolect.llm.common import SPACES, whole
 from duolect.session import materialize
 
 WORDS = 5
-SKETCH = 64
 BETWEEN = r"[\x20\x09-\x0D]+"
 
 
@@ -61,26 +62,25 @@ def anchors(text: Column) -> Column:
 
 
 def marks(text: Column) -> Column:
-    """The distinct hashes of all anchors of a text."""
-    return F.array_distinct(F.transform(anchors(text), lambda x: x["hash"]))
+    """The distinct hashes of neighbouring anchors and their distance, in order; a lone anchor is one by itself."""
+    def linked(found: Column) -> Column:
+        def link(at: Column, i: Column) -> Column:
+            after = F.get(found, i + 1)
+            return F.when(after.isNotNull(), F.xxhash64(at["hash"], after["place"] - at["place"], after["hash"]))
 
+        return F.when(F.size(found) == 1, F.transform(found, lambda x: x["hash"])).otherwise(
+            F.array_distinct(F.array_compact(F.transform(found, link))))
 
-def _sketched(marks: Column) -> Column:
-    hashes = F.transform(marks, lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)))
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
+    return let(anchors(text), linked)
 
 
-def sketch(text: Column) -> Column:
-    """The ``SKETCH`` smallest anchor hashes, 32 bits of each, in order."""
-    return _sketched(marks(text))
-
-
-def as_text(sketch: Column) -> Column:
-    return F.array_join(F.transform(sketch, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+def as_text(marks: Column) -> Column:
+    """Sixteen hex digits for each mark, one after another."""
+    return F.array_join(F.transform(marks, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """Share of common anchors of two texts' marks: 0 to 1, 1 for two without any."""
+    """Share of common marks of two texts' fingerprints: 0 to 1, 1 for two without any."""
     def of_shared(shared: Column) -> Column:
         both = F.size(one) + F.size(other) - shared
         return F.when(both == 0, F.lit(1.0)).otherwise(shared / both)
@@ -147,7 +147,7 @@ def compare_edits(docs: DataFrame) -> DataFrame:
         "doc_id", "n_chars", "next_id", "next_marks", marks(F.col("text")).alias("marks"),
         F.concat(F.substring("text", F.lit(1), kept), "head").alias("edited"))
     rows = rows.withColumns({"edited_marks": marks(F.col("edited")), "edited_sha256": F.sha2("edited", 256)})
-    return rows.select("doc_id", "n_chars", "edited_sha256", as_text(_sketched(F.col("marks"))).alias("fingerprint"),
-                       as_text(_sketched(F.col("edited_marks"))).alias("edited_fingerprint"),
+    return rows.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("marks")).alias("fingerprint"),
+                       as_text(F.col("edited_marks")).alias("edited_fingerprint"),
                        likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
                        likeness(F.col("marks"), F.col("next_marks")).alias("near_next"), "next_id")

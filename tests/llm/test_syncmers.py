@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from duolect.llm.syncmers import SKETCH, anchors, compare_edits, sketch
+from duolect.llm.syncmers import anchors, as_text, compare_edits, likeness, marks
 
 
 def edited(rows):
@@ -47,9 +47,40 @@ def test_edits_and_likeness(spark, make):
     assert all(len(x) == 1 for x in by_text.values())
     nearer = [r for r in got.values() if r.n_chars > 200]
     assert sum(r.near_edited > r.near_next for r in nearer) / len(nearer) > 0.97
-    sketches = {r.doc_id: r.s for r in docs.select("doc_id", sketch(F.col("text")).alias("s")).collect()}
-    for doc, r in got.items():
-        assert r.fingerprint == "".join(f"{x:08x}" for x in sketches[doc]) and len(sketches[doc]) <= SKETCH
+    prints = {doc: listed(got[doc].fingerprint) for doc, _ in rows}
+    for i, (doc, _) in enumerate(rows):
+        own, new, after = prints[doc], listed(got[doc].edited_fingerprint), prints[rows[(i + 1) % len(rows)][0]]
+        assert got[doc].near_edited == jaccard(own, new) and got[doc].near_next == jaccard(own, after)
+
+
+def listed(fingerprint):
+    return [fingerprint[i:i + 16] for i in range(0, len(fingerprint), 16)]
+
+
+def jaccard(one, other):
+    one, other = set(one), set(other)
+    return len(one & other) / len(one | other) if one | other else 1.0
+
+
+def test_anchors_out_of_order_or_at_other_distances_match_less(spark):
+    parts = [" ".join(f"p{i}w{i * j % 97}" for j in range(30)) for i in range(1, 9)]
+    texts = [" ".join(parts), " ".join(["new words come first", *parts]), " ".join(reversed(parts)),
+             " ".join(w + " so" * (n % 40 == 39) for n, w in enumerate(" ".join(parts).split()))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select(
+        "i", F.transform(anchors(F.col("text")), lambda x: x["hash"]).alias("bag"), marks(F.col("text")).alias("marks"))
+    first = rows.where("i = 0").select(F.col("marks").alias("m"), F.col("bag").alias("b"))
+    near = {r.i: (r.near, r.bag) for r in rows.crossJoin(first).select(
+        "i", likeness(F.col("marks"), F.col("m")).alias("near"), likeness(F.array_distinct("bag"), F.array_distinct("b")).alias("bag")).collect()}
+    assert near[0] == (1, 1) and near[1][0] > 0.95  # a shift of all places changes nothing but the start
+    assert near[2][0] < near[2][1] < 1 and near[2][0] < near[1][0] and near[3][0] < near[0][0]
+
+
+def test_the_list_is_anchor_next_anchor_and_distance_in_order(spark):
+    text = " ".join(f"w{i * i % 31}" for i in range(80))
+    row = spark.createDataFrame([(text,)], "text string").select(anchors(F.col("text")).alias("a"), as_text(marks(F.col("text"))).alias("f")).first()
+    pairs = spark.createDataFrame([(n, a.hash, b.place - a.place, b.hash) for n, (a, b) in enumerate(zip(row.a, row.a[1:], strict=False))], "n int, a long, d int, b long")
+    want = [f"{r.h & (1 << 64) - 1:016x}" for r in pairs.select("n", F.xxhash64("a", "d", "b").alias("h")).orderBy("n").collect()]
+    assert listed(row.f) == list(dict.fromkeys(want)) and len(want) > 20
 
 
 def test_odd_rows(odd):
@@ -64,18 +95,10 @@ def test_odd_rows(odd):
     assert compare_edits(odd.limit(0)).count() == 0
 
 
-def test_likeness_is_of_all_anchors(spark, make):
+def test_a_passage_shared_by_long_texts_counts(spark, make):
     passage = " ".join(f"p{i * i % 89}q{i}" for i in range(40))
-    rows = [(i, " ".join(f"d{i}w{j * j % 991}" for j in range(900)) + " " + passage) for i in range(3)]
-    docs = make(rows)
-    own = {r.doc_id: {x.hash for x in r.a} for r in docs.select("doc_id", anchors(F.col("text")).alias("a")).collect()}
-    assert all(len(x) > 2 * SKETCH for x in own.values())
-    after = spark.createDataFrame([(i, text) for i, (_, text) in edited(rows).items()], "doc_id long, text string")
-    new = {r.doc_id: {x.hash for x in r.a} for r in after.select("doc_id", anchors(F.col("text")).alias("a")).collect()}
-    for r in compare_edits(docs).collect():
-        i, j = own[r.doc_id], own[(r.doc_id + 1) % 3]
-        assert r.near_next == len(i & j) / len(i | j) > 0
-        assert r.near_edited == len(i & new[r.doc_id]) / len(i | new[r.doc_id])
+    rows = compare_edits(make([(i, " ".join(f"d{i}w{j * j % 991}" for j in range(900)) + " " + passage) for i in range(3)])).collect()
+    assert all(0 < r.near_next < 0.1 for r in rows)
 
 
 def test_texts_of_five_and_six_words_have_anchors(spark, make):
