@@ -50,6 +50,23 @@ def packed(ids: Iterable[int]) -> bytes:
     return numbers.tobytes()
 
 
+_HELD: dict[tuple[str, str], object] = {}
+
+
+def held(kind: str, key: str, build: Callable[[str], object]) -> object:
+    """The worker's own object for a key, built on first use. Workers outlive a stage, so
+    what they held for another one is let go first."""
+    if (kind, key) not in _HELD:
+        let_go()
+        _HELD[kind, key] = build(key)
+    return _HELD[kind, key]
+
+
+def let_go() -> None:
+    """Free what earlier stages made this worker remember."""
+    _HELD.clear()
+
+
 class Remembered:
     """What a worker has learnt about the words it met lately, ``size`` to twice as many.
 

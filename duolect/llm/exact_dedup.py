@@ -22,7 +22,7 @@ STATE_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # or each of many partitions takes megabytes at once
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
 }
 
 

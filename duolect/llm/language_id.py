@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from duolect.llm.common import bound_batches, boxed, slabs, unboxed, whole
+from duolect.llm.common import bound_batches, boxed, let_go, slabs, unboxed, whole
 from duolect.llm.labelled import held_out
 
 # Held out: documents whose crc32 of the id leaves this remainder.
@@ -84,6 +84,7 @@ def learn(docs: DataFrame, size: int = PROFILE) -> dict[str, np.ndarray]:
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         seen: dict[str, list] = {}
         for batch in batches:
             grams: dict[str, list] = {}
@@ -140,6 +141,7 @@ def identify(rows: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
     schema = StructType([*rows.schema.fields[:-1], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             found = [nearest(text or "") for text in batch.columns[-1].to_pylist()]
             columns = [*batch.columns[:-1], pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]

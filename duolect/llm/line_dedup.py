@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duolect.llm.common import FILTER_SETTINGS, SPACES, bound_batches, boxed, matched, same, settings, unboxed, whole
+from duolect.llm.common import FILTER_SETTINGS, SPACES, bound_batches, boxed, let_go, matched, same, settings, unboxed, whole
 from duolect.session import materialize
 
 MIN_WORDS = 8
@@ -53,6 +53,7 @@ def units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, byt
 
 def _unit_rows(docs: DataFrame, min_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         names = ["doc_id", "text_hash", "unit", "start", "stop", "key"]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
         rows: list[tuple] = []
@@ -112,6 +113,7 @@ def _cut_rows(docs: DataFrame, min_words: int) -> DataFrame:
               .select("row", F.col("row.text").alias("rest"), "starts", "stops"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             row, rest, starts, stops = batch.columns
             texts = [text if a is None or text is None else cut(text, a, b)

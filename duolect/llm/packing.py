@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duolect.llm.common import Remembered, bound_batches, packed, slabs, whole
+from duolect.llm.common import Remembered, bound_batches, held, packed, slabs, whole
 from duolect.session import materialize
 
 WINDOW = 2048
@@ -32,8 +32,6 @@ PLACES = PIECES + ", sequence_id long, offset long"
 ODD = re.compile("[\x1c-\x1f\u03a3\u0130]")
 WORD_END = re.compile(r"[.,](?<=[a-z\xdf-\xf6\xf8-\xff].)(?=\s|$)")
 
-_TOKENIZERS: dict[str, WordIds] = {}
-
 
 class WordIds:
     """Ids of texts as little-endian unsigned 32-bit bytes, by words seen before.
@@ -63,9 +61,7 @@ class WordIds:
 
 def word_ids(path: str) -> WordIds:
     """The worker's own tokenizer of a file."""
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordIds(path)
-    return _TOKENIZERS[path]
+    return held("word ids", path, WordIds)
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, with_ids: bool = False) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duolect.llm.common import Remembered, bound_batches, packed, same, whole
+from duolect.llm.common import Remembered, bound_batches, held, packed, same, whole
 from duolect.session import materialize
 
 CHUNK = 1 << 15
@@ -42,8 +42,6 @@ NONE: State = ("", 0)
 # Entry, exit and weight wherever a path leads through.
 Matrix = list[tuple[State, State, int]]
 
-_CODERS: dict[str, Coder] = {}
-
 
 class Coder:
     """A vocabulary, and what has been learnt about its words and pairs."""
@@ -109,9 +107,7 @@ class Coder:
 
 def coder(path: str) -> Coder:
     """The worker's own coder of a file."""
-    if path not in _CODERS:
-        _CODERS[path] = Coder(path)
-    return _CODERS[path]
+    return held("pieces", path, Coder)
 
 
 def between(text: str, at: int) -> bool:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duolect.llm.common import bound_batches, whole
+from duolect.llm.common import bound_batches, let_go, whole
 
 # A perfect difference cover; every difference modulo 13 is one of two of these.
 MODULUS, COVER = 13, (0, 1, 3, 9)
@@ -202,6 +202,7 @@ def periodic_runs(docs: DataFrame, edit: Callable[[int | None, list[bytes]], lis
     item = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             counts, lists, texts = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

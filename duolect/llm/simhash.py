@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from duolect.llm.common import attach, bound_batches, boxed, unboxed, whole
+from duolect.llm.common import attach, bound_batches, boxed, let_go, unboxed, whole
 from duolect.llm.graph import components
 from duolect.session import materialize
 
@@ -68,6 +68,7 @@ def fingerprinted(rows: DataFrame, words: int = 4) -> DataFrame:
     schema = StructType([*rows.schema.fields[:-1], StructField("fp", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             values = [fingerprint(text.as_buffer().to_pybytes(), words) for text in batch.columns[-1]]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(values, pa.int64())], schema.names)
@@ -159,6 +160,7 @@ def links(distinct: DataFrame, bits: int = 4) -> DataFrame:
         raise ValueError("grid points one step away are enough for at most 5 differing bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         rest = (np.zeros(0, np.int64),) * 3
         for batch in _then_none(batches):
             if batch is not None:
