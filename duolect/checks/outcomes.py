@@ -12,7 +12,7 @@ from duolect.operators import attach, outcomes, resume
 from duolect.plans.build import to_outcome
 from duolect.session import materialize, workspace
 from duolect.sinks import tables
-from duolect.sources.done import done_keys, read_outcomes
+from duolect.sources.done import done_keys, read_dataset, read_outcomes
 
 
 def _keyed(df):
@@ -43,6 +43,19 @@ def commit_marker(spark, sf):
     return read_outcomes(spark, _earlier_runs(spark, sf)).select("run_id", "sample_id", "status")
 
 
+@check("jobs_at_once", f"""WITH {DIRTY}, keyed AS (SELECT *, {sql_sanitize('id')} AS sample_id FROM dirty)
+SELECT sample_id, 'run-first' AS run_id FROM keyed WHERE done
+UNION ALL SELECT sample_id, 'run-rival' FROM keyed WHERE sample_id NOT IN (SELECT sample_id FROM keyed WHERE done)""")
+def jobs_at_once(spark, sf):
+    """A second job planned before the first one's commit, and committed after it: keys of both are the first's."""
+    cfg = _earlier_runs(spark, sf)
+    rows = (_keyed(manifest_dirty(spark, sf)).withColumnRenamed("id", "raw_id")
+            .withColumns({"direction": F.lit(cfg.direction), "idx": F.col("row_no"), "status": F.lit("ok")}))
+    tables.write_outcomes(to_outcome(rows, "run-rival"), cfg, "run-rival")
+    tables.commit_run(spark, cfg, "run-rival", job="run-rival", base=[])
+    return read_dataset(spark, cfg).select("sample_id", "run_id")
+
+
 @check("resume_pending", f"""WITH {DIRTY}, keyed AS (SELECT *, {sql_sanitize('id')} AS sample_id FROM dirty)
 SELECT row_no, sample_id FROM keyed
 WHERE sample_id NOT IN (SELECT sample_id FROM keyed WHERE done)""")

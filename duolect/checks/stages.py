@@ -22,7 +22,7 @@ from duolect.session import materialize, workspace
 from duolect.sinks.export import export_samples as export_rows
 from duolect.sinks.export import write_segments
 from duolect.sinks.tables import read_errors
-from duolect.sources.clips import decode_clips, scan_clips
+from duolect.sources.clips import clip_shapes, decode_clips, list_clips, scan_clips
 from duolect.sources.done import read_dataset
 from duolect.checks.standins import fail_on_multiple, standin_teachers
 
@@ -309,16 +309,30 @@ def export_samples(spark, sf):
     return materialize(receipts, "receipts")
 
 
-@check("write_segment", f"""WITH {VECTORS}
-SELECT CAST(vec_id AS VARCHAR) || '_cut_0.001-0.003.wav' AS cut_name, 32 AS n_samples,
-       CAST(list_sum(list_transform(range(17, 49), lambda i: (i - 16) * pcm[i])) AS BIGINT) AS digest
-FROM clips""")
-def write_segment(spark, sf):
+def _cut_clips(spark, sf):
+    """A folder of cut clips, one for each vector."""
     root = workspace(spark, "cuts")
     clips = decode_clips(vector_clips(spark, sf, mixed=False), target_rate=None).select(
         F.concat(F.lit(root + "/"), F.col("vec_id").cast("string"), F.lit(".wav")).alias("path"), "samples",
         "sample_rate", F.lit(0.001).alias("start_s"), F.lit(0.003).alias("end_s"))
     materialize(write_segments(clips), "receipts")
+    return root
+
+
+@check("clip_shapes", f"""WITH {VECTORS}
+SELECT CAST(vec_id AS VARCHAR) || '_cut_0.001-0.003.wav' AS cut_name, CAST(44 + 64 AS BIGINT) AS length,
+       16000 AS rate, 1 AS channels, CAST(32 AS BIGINT) AS frames FROM clips""")
+def clip_shapes_from_headers(spark, sf):
+    rows = clip_shapes(list_clips(spark, _cut_clips(spark, sf)))
+    return rows.select(F.element_at(F.split("path", "/"), -1).alias("cut_name"), "length", "rate", "channels", "frames")
+
+
+@check("write_segment", f"""WITH {VECTORS}
+SELECT CAST(vec_id AS VARCHAR) || '_cut_0.001-0.003.wav' AS cut_name, 32 AS n_samples,
+       CAST(list_sum(list_transform(range(17, 49), lambda i: (i - 16) * pcm[i])) AS BIGINT) AS digest
+FROM clips""")
+def write_segment(spark, sf):
+    root = _cut_clips(spark, sf)
     rows = decode_clips(scan_clips(spark, root), target_rate=None)
     weighed = F.transform("samples", lambda v, i: (i + 1) * (v.cast("double") * 32768).cast("bigint"))
     return rows.select(F.element_at(F.split("path", "/"), -1).alias("cut_name"), "n_samples",
