@@ -13,10 +13,12 @@ from duolect.checks.fixtures import (DIRTY, VECTORS, VIEW, config, corpus_files,
                                      sample_frame, sql_sanitize, sql_strip, text_clip, vector_clips)
 from duolect.checks.registry import check
 from duolect.config import SOURCE_RATE
+from duolect.functions import text as T
 from duolect.functions.audio import decode_wav, load_mono, mono
 from duolect.operators import inference as I
 from duolect.operators.resume import first_success_wins
 from duolect.plans.build import run_job
+from duolect.plans.memory import next_batches, translations
 from duolect.plans.samples import add_source_text, infer_samples
 from duolect.session import materialize, workspace
 from duolect.sinks.export import export_samples as export_rows
@@ -53,6 +55,36 @@ def translate_text(spark, sf):
     return done.select("row_no", F.md5("tgt_text").alias("tgt_md5"), "error")
 
 
+_KNOWN = f"text IS NOT NULL AND {sql_strip('text')} <> '' AND lang <> 'es'"
+
+
+@check("translation_memory", f"""WITH {DIRTY}, known AS (SELECT DISTINCT lang, text FROM dirty WHERE row_no % 3 = 0 AND {_KNOWN})
+SELECT row_no, known.text IS NOT NULL AS recalled,
+       CASE WHEN known.text IS NOT NULL THEN md5('kept ' || dirty.text)
+            WHEN dirty.text IS NULL OR {sql_strip('dirty.text')} = '' OR dirty.lang <> 'es' THEN md5({_sql_translated('dirty.text')}) END AS tgt_md5
+FROM dirty LEFT JOIN known USING (lang, text)""")
+def translation_memory(spark, sf):
+    """Rows after a run whose outcomes, a third of them, are remembered: these need no model."""
+    rows = manifest_dirty(spark, sf).select(
+        "row_no", F.col("lang").alias("src_lang"), F.lit("fr").alias("tgt_lang"), F.col("text").alias("src_text"))
+    earlier = rows.where("row_no % 3 = 0 AND src_lang <> 'es'").withColumn("tgt_text", F.concat(F.lit("kept "), "src_text"))
+    done = I.translate_texts(rows, standin_teachers(), ("en", "fr", "de"), memory=translations(earlier))
+    marked = F.coalesce(F.col("tgt_text") == F.concat(F.lit("kept "), "src_text"), F.lit(False))
+    return done.select("row_no", marked.alias("recalled"), F.md5("tgt_text").alias("tgt_md5"))
+
+
+@check("translation_chain", f"""WITH {DIRTY}, seen AS (SELECT DISTINCT lang, text, row_no // 100 AS batch FROM dirty WHERE text IS NOT NULL),
+following AS (SELECT *, lead(batch) OVER (PARTITION BY lang, text ORDER BY batch) AS next FROM seen)
+SELECT lang AS src_lang, sha256(text) AS text_key, CAST(batch AS INTEGER) AS batch, CAST(next AS INTEGER) AS next
+FROM following WHERE next IS NOT NULL""")
+def translation_chain(spark, sf):
+    """Where each text goes next, in a job of batches of 100 rows."""
+    rows = manifest_dirty(spark, sf).where("text IS NOT NULL").select(
+        F.col("lang").alias("src_lang"), F.lit("fr").alias("tgt_lang"), T.text_key(F.col("text")).alias("text_key"),
+        F.floor(F.col("row_no") / 100).cast("int").alias("batch"))
+    return next_batches(rows.distinct()).select("src_lang", "text_key", "batch", "next")
+
+
 @check("row_isolation", f"""WITH {VIEW}
 SELECT row_no, CASE WHEN row_no % 67 = 0 THEN 'error' ELSE 'ok' END AS status,
        CASE WHEN row_no % 67 = 0 THEN 'ValueError(''boom'')' END AS error FROM manifest""")

@@ -19,7 +19,8 @@ class JobConfig:
     means no per-shard limit; ``tiers=None`` leaves the tier filter off. Model stages
     get a task for every ``rows_per_task`` rows, and every ``rows_per_commit`` rows are
     committed by themselves. A model with a batch method gets at most ``audio_budget``
-    samples or ``text_budget`` characters in one call. ``shuffle_seed`` shuffles the manifest before it is dealt
+    samples or ``text_budget`` characters in one call. ``translator_name`` names the
+    translator and its version: under that name translations are kept and used again. ``shuffle_seed`` shuffles the manifest before it is dealt
     out, and ``summary_files`` sets the number of files of a debug summary.
     """
 
@@ -48,6 +49,7 @@ class JobConfig:
     rows_per_commit: int = 200_000
     audio_budget: int = 16 * 30 * SOURCE_RATE
     text_budget: int = 1 << 16
+    translator_name: str | None = None
     min_token_frames: int = 1
     multi_line: bool = True
     shuffle_seed: int | None = None

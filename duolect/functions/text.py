@@ -43,6 +43,11 @@ def is_blank(text: Column) -> Column:
     return text.isNull() | (strip(text) == "")
 
 
+def text_key(text: Column) -> Column:
+    """What a text is looked up by: its SHA-256."""
+    return F.sha2(text, 256)
+
+
 def sanitize_id(raw_id: Column) -> Column:
     return F.translate(raw_id, UNSAFE_ID_CHARS, "_" * len(UNSAFE_ID_CHARS))
 

@@ -336,9 +336,12 @@ def tokenize_many(teachers: Teachers, waveforms: Sequence[np.ndarray], rate: int
 
 def translate_texts(df: DataFrame, teachers: Teachers, languages: Sequence[str],
                     text: str = "src_text", partitions: int | None = None,
-                    profile: ResourceProfile | None = None, budget: int = TEXT_BUDGET) -> DataFrame:
+                    profile: ResourceProfile | None = None, budget: int = TEXT_BUDGET,
+                    memory: DataFrame | None = None) -> DataFrame:
     """Add ``tgt_text``: blank text gives ``""`` without a call, every distinct text
     of a language pair is translated once, and unknown pairs are error rows.
+    ``memory`` holds earlier translations (``src_lang``, ``tgt_lang``, ``text_key``, ``tgt_text``,
+    a row for a key): what it has is not translated again.
 
     Repeats are merged before the shuffle, so a text very many rows share reaches
     the model once. Translations are joined back by the text's SHA-256: the text itself
@@ -347,6 +350,7 @@ def translate_texts(df: DataFrame, teachers: Teachers, languages: Sequence[str],
     pair = ["src_lang", "tgt_lang", text]
     key = ["src_lang", "tgt_lang", "_text_key"]
     blank = T.is_blank(F.col(text))
+    text_key = T.text_key(F.col(text))
     guarded = apply_guards(df, lang_pair_known(
         F.col("src_lang"), F.col("tgt_lang"), F.col(text), languages)).drop("status")
     distinct = guarded.where(F.col("error_kind").isNull() & ~blank).select(*pair).distinct()
@@ -367,13 +371,18 @@ def translate_texts(df: DataFrame, teachers: Teachers, languages: Sequence[str],
                 done[i] = out
         return done
 
-    named = distinct.withColumn("_text_key", F.sha2(text, 256))
+    named = distinct.withColumn("_text_key", text_key)
+    if memory is not None:
+        known = memory.select("src_lang", "tgt_lang", F.col("text_key").alias("_text_key"), F.col("tgt_text").alias("_tgt"))
+        named = named.join(known, key, "left_anti")
     translated = (infer_map(spread(named, partitions, *key), one, [*pair], "_tgt string", teachers, drop=[text],
                             apply_many=many, profile=profile, chunk_rows=TEXT_ROWS, stages=["translator"])
                   .withColumnsRenamed({c: f"_{c}" for c in ERROR_COLUMNS}))
+    if memory is not None:
+        translated = translated.unionByName(known, allowMissingColumns=True)
     earlier = F.col("error_kind").isNotNull()
     found = {c: F.when(earlier, F.col(c)).otherwise(F.col(f"_{c}")) for c in ERROR_COLUMNS}
-    return (guarded.withColumn("_text_key", F.sha2(text, 256)).join(translated, key, "left")
+    return (guarded.withColumn("_text_key", text_key).join(translated, key, "left")
             .withColumns({"tgt_text": F.when(blank, "").otherwise(F.col("_tgt")), **found})
             .select(*guarded.columns, "tgt_text"))
 
