@@ -21,6 +21,23 @@ def test_positions_are_dense_in_order(spark):
     assert empty.count() == 0 and empty.columns == ["row_no", "seg", "idx"]
 
 
+def test_sparse_positions_of_a_million_rows(spark):
+    """A bucket for nearly every row, negative orders and the ends of the range among them."""
+    spread = (F.col("id") * F.lit(9_223_372_036_854) + F.pmod(F.hash("id"), F.lit(1000)) - F.lit(2**62)).alias("row_no")
+    ends = spark.createDataFrame([(-2**63, -1), (2**63 - 1, 1_000_000)], "row_no bigint, want bigint")
+    df = spark.range(1_000_000).select(spread, F.col("id").alias("want")).union(ends)
+    placed = shards.with_row_index(df)
+    assert placed.where("idx <> want + 1").count() == 0 and placed.agg(F.max("idx")).first()[0] == 1_000_001
+
+
+def test_positions_have_no_window_without_a_partition(spark):
+    """A window's specification in the optimised plan lists its partition columns before the first order."""
+    df = spark.range(9).withColumnRenamed("id", "row_no")
+    plan = shards.with_row_index(df)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 4 and all(line.count("], [") == 2 for line in windows), windows
+
+
 @pytest.mark.parametrize("count", [0, 1, 3, 7])
 def test_shards_split_rows_like_a_strided_slice(spark, count):
     df = spark.range(50).select(F.col("id").alias("row_no"))
