@@ -247,6 +247,19 @@ def sample_frame(spark: SparkSession, sf_dir: str, cfg: JobConfig) -> DataFrame:
     return sample_columns(select_rows(with_row_index(rows), cfg), cfg)
 
 
+def put_clips(clips: DataFrame) -> None:
+    """Write each ``(path, content)`` row's file, in the task that has it."""
+    def put(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                system, name = file_system(path)
+                system.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                write_file(system, name, content)
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["path"])
+
+    clips.mapInArrow(put, "path string").write.format("noop").mode("overwrite").save()
+
+
 def corpus_files(spark: SparkSession, sf_dir: str, root: str) -> JobConfig:
     """Dirty rows as a job finds them: CSV manifests in row order and a WAV file for every
     clip that is not missing, under ``root``; and the settings of a job over them."""
@@ -258,13 +271,5 @@ def corpus_files(spark: SparkSession, sf_dir: str, root: str) -> JobConfig:
     clips = rows.where("present").select(
         T.resolve_path(F.col("audio_path"), root).alias("path"), text_clip(F.col("spoken")).alias("content"))
 
-    def put(batches):
-        for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                system, name = file_system(path)
-                system.create_dir(name.rsplit("/", 1)[0], recursive=True)
-                write_file(system, name, content)
-            yield pa.RecordBatch.from_arrays([batch.column(0)], ["path"])
-
-    clips.mapInArrow(put, "path string").write.format("noop").mode("overwrite").save()
+    put_clips(clips)
     return config(f"{root}/out", data_root=root, manifests={"en": f"{root}/manifest"})

@@ -10,7 +10,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from duolect.checks.fixtures import (DIRTY, VECTORS, VIEW, config, corpus_files, manifest_dirty, manifest_view,
-                                     sample_frame, sql_sanitize, sql_strip, text_clip, vector_clips)
+                                     put_clips, sample_frame, sql_sanitize, sql_strip, text_clip, vector_clips)
 from duolect.checks.registry import check
 from duolect.config import SOURCE_RATE
 from duolect.functions import text as T
@@ -22,7 +22,8 @@ from duolect.plans.memory import next_batches, translations
 from duolect.plans.samples import add_source_text, infer_samples
 from duolect.session import materialize, workspace
 from duolect.sinks.export import export_samples as export_rows
-from duolect.sinks.export import write_segments
+from duolect.sinks.export import convert_clips, write_segments
+from duolect.sinks.export import cut_clips as cut_files
 from duolect.sinks.tables import read_errors
 from duolect.sources.clips import clip_shapes, decode_clips, list_clips, scan_clips
 from duolect.sources.done import read_dataset
@@ -369,3 +370,52 @@ def write_segment(spark, sf):
     weighed = F.transform("samples", lambda v, i: (i + 1) * (v.cast("double") * 32768).cast("bigint"))
     return rows.select(F.element_at(F.split("path", "/"), -1).alias("cut_name"), "n_samples",
                        F.aggregate(weighed, F.lit(0).cast("bigint"), lambda a, v: a + v).alias("digest"))
+
+
+def _clip_files(spark, sf, root):
+    """A file for each vector, of mixed rates and channels."""
+    named = F.concat(F.lit(root + "/"), F.col("vec_id").cast("string"), F.lit(".wav")).alias("path")
+    clips = vector_clips(spark, sf).select("vec_id", named, "content")
+    put_clips(clips.select("path", "content"))
+    return clips.drop("content")
+
+
+@check("cut_clips", f"""WITH {VECTORS},
+bounded AS (SELECT *, CAST(floor(0.0005::DOUBLE * rate) AS BIGINT) AS first, CAST(floor(0.0025::DOUBLE * rate) AS BIGINT) AS last FROM mono)
+SELECT CAST(vec_id AS VARCHAR) || '_cut_0.0005-0.0025.wav' AS cut_name, CASE WHEN last <= len(wave) THEN 1 ELSE 0 END AS files,
+       CASE WHEN last > len(wave) THEN 'ValueError(''Invalid start or end times'')' END AS error,
+       CASE WHEN last <= len(wave) THEN channels END AS channels, CASE WHEN last <= len(wave) THEN rate END AS sample_rate,
+       CASE WHEN last <= len(wave) THEN last - first END AS n_samples,
+       CASE WHEN last <= len(wave) THEN CAST(list_sum(list_transform(range(first + 1, last + 1),
+         lambda i: (i - first) * CAST(wave[i] * 65536 AS BIGINT))) AS BIGINT) END AS digest
+FROM bounded""")
+def cut_clips(spark, sf):
+    """Cuts made from files by range, read back; where the clip is too short there is an error."""
+    root = workspace(spark, "clips")
+    rows = _clip_files(spark, sf, root).select("path", F.lit(0.0005).alias("start_s"), F.lit(0.0025).alias("end_s"))
+    receipts = materialize(cut_files(rows), "receipts")
+    cuts = decode_clips(scan_clips(spark, root, "*_cut_*.wav"), target_rate=None)
+    weighed = F.transform("samples", lambda v, i: (i + 1) * (v.cast("double") * 65536).cast("bigint"))
+    found = cuts.select(F.col("path").alias("cut_path"), "channels", "sample_rate", "n_samples",
+                        F.aggregate(weighed, F.lit(0).cast("bigint"), lambda a, v: a + v).alias("digest"))
+    return receipts.join(found, "cut_path", "left").select(
+        F.element_at(F.split("cut_path", "/"), -1).alias("cut_name"), "files", "error", "channels", "sample_rate", "n_samples", "digest")
+
+
+@check("convert_clips", f"""WITH {_RESAMPLED}
+SELECT vec_id, n_out AS n_samples, 44 + 2 * n_out AS bytes, 16000 AS rate, 1 AS channels, true AS close
+FROM wave16 GROUP BY vec_id, n_out""")
+def convert_clips_files(spark, sf):
+    """Clips rewritten as mono files of 16 kHz; read back, no sample is off by more than its rounding to 16 bits."""
+    clips = _clip_files(spark, sf, workspace(spark, "clips"))
+    root = workspace(spark, "converted")
+    target = F.concat(F.lit(root + "/"), F.element_at(F.split("path", "/"), -1)).alias("out_path")
+    receipts = materialize(convert_clips(clips.select("path", target)), "receipts")
+    name = F.regexp_extract("path", r"([0-9]+)\.wav$", 1).cast("bigint").alias("vec_id")
+    read = decode_clips(scan_clips(spark, root), target_rate=None).select(
+        name, "length", F.col("sample_rate").alias("rate"), "channels", F.col("samples").alias("stored"), F.col("path").alias("out_path"))
+    exact = decode_clips(vector_clips(spark, sf), target_rate=SOURCE_RATE).select("vec_id", "samples")
+    apart = F.zip_with("stored", "samples", lambda a, b: F.abs(a.cast("double") - F.least(b.cast("double"), F.lit(32767 / 32768))))
+    return (receipts.join(read, "out_path").join(exact, "vec_id")
+            .select("vec_id", "n_samples", F.col("length").alias("bytes"), "rate", "channels",
+                    ((F.size("stored") == F.size("samples")) & (F.array_max(apart) < 0.501 / 32768)).alias("close")))

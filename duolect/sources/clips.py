@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import re
 from collections.abc import Iterator
 from functools import reduce
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duolect.config import SOURCE_RATE
-from duolect.functions.audio import decode_wav, mono, resample
+from duolect.functions.audio import WavClip, load_mono
 from duolect.functions.files import clip_shape, file_system, read_clip
 from duolect.functions.text import MISSING_CLIP, listed_path
 from duolect.operators.inference import AUDIO_ROWS, TEXT_ROWS, infer_map, spread
@@ -89,10 +90,11 @@ def decode_clips(df: DataFrame, target_rate: int | None = SOURCE_RATE,
     def decode(_, row: dict) -> dict:
         if row[content] is None:
             raise FileNotFoundError(MISSING_CLIP + "no content")
-        frames, rate = decode_wav(row[content])
-        samples = resample(mono(frames), rate, target_rate or rate).astype("float32")
-        return {"source_rate": rate, "channels": frames.shape[1], "samples": samples,
-                "sample_rate": target_rate or rate, "n_samples": samples.size}
+        clip = WavClip(io.BytesIO(row[content]))
+        rate = target_rate or clip.rate
+        samples = load_mono(clip, rate)
+        return {"source_rate": clip.rate, "channels": clip.channels, "samples": samples,
+                "sample_rate": rate, "n_samples": samples.size}
 
     return infer_map(df, decode, inputs=[content], drop=[content], outputs="""
         source_rate int, channels int, sample_rate int, n_samples bigint, samples array<float>""")

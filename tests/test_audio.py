@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from duolect.functions import arrays, audio
+from duolect.sinks import export
 from duolect.sources import clips as clip_source
 from duolect.sources.clips import clip_shapes, decode_clips, list_clips, scan_clips
 
@@ -158,3 +159,104 @@ def test_shapes_come_from_headers(spark, scratch):
     assert rows["cut.wav"].error == "ValueError('Truncated audio data')"
     assert rows["no.wav"].error_msg == rows["empty.wav"].error_msg == "Not a WAV file"
     assert all(audio.resampled_size(n, r, 16000) == audio.resample(np.zeros(n), r, 16000).size for n in (0, 1, 777) for r in (8000, 16000, 44100, 22050))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.sampled_from([(8000, 16000), (22050, 16000), (44100, 16000), (48000, 16000), (16000, 24000), (16000, 16000)]),
+       st.lists(st.integers(0, 700), max_size=8), st.integers(0, 9))
+def test_resampling_does_not_depend_on_blocks(rates, cuts, seed):
+    samples = np.random.default_rng(seed).normal(size=700)
+    at = [0, *sorted(cuts), 700]
+    parts = list(audio.resample_blocks([samples[a:b] for a, b in zip(at, at[1:])], *rates))
+    assert np.allclose(np.concatenate(parts), audio.resample(samples, *rates), rtol=0, atol=1e-12)
+    assert audio.resample(samples[:0], *rates).size == 0 == sum(b.size for b in audio.resample_blocks([], *rates))
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 4])
+def test_ranges_and_blocks_equal_the_whole(width, monkeypatch):
+    values = np.random.default_rng(width).integers(-2 ** (8 * width - 1), 2 ** (8 * width - 1), 2 * 501)
+    content = pcm_file(values, width, 44100, 2)
+    whole, _ = audio.decode_wav(content)
+    monkeypatch.setattr(audio, "BLOCK_FRAMES", 64)
+    clip = audio.WavClip(io.BytesIO(content))
+    assert np.array_equal(np.concatenate(list(clip.blocks())), whole)
+    assert np.array_equal(np.concatenate(list(clip.blocks(70, 333))), whole[70:333])
+    assert np.array_equal(clip.read(5, 9), whole[5:9])
+    direct = audio.resample(whole.mean(axis=1), 44100, 16000).astype(np.float32)
+    assert np.allclose(audio.load_mono(content, 16000), direct, rtol=0, atol=1e-7)
+
+
+def test_a_header_that_claims_too_much_is_refused_before_room_is_made():
+    content = bytearray(audio.encode_wav(np.zeros(10), 16000))
+    content[40:44] = (0xFFFFFFF0).to_bytes(4, "little")
+    with pytest.raises(ValueError, match="Truncated"):
+        audio.load_mono(bytes(content), 16000)
+
+
+class LongFile(io.RawIOBase):
+    """A stereo clip of zeros that lies nowhere: only its header is stored."""
+
+    def __init__(self, frames):
+        header = io.BytesIO()
+        audio.write_wav(header, 44100, 2, frames, [])
+        self.header, self.size, self.at = header.getvalue(), 44 + 4 * frames, 0
+
+    def seek(self, at, whence=0):
+        self.at = at + (self.at if whence == 1 else self.size if whence == 2 else 0)
+        return self.at
+
+    def tell(self):
+        return self.at
+
+    def read(self, n=-1):
+        n = min(n if n >= 0 else self.size, self.size - self.at)
+        found = self.header[self.at:self.at + n]
+        self.at += n
+        return found + bytes(n - len(found))
+
+
+def test_memory_does_not_grow_with_the_clip():
+    import tracemalloc
+
+    class Sink:
+        size = 0
+
+        def write(self, data):
+            self.size += len(data)
+
+    peaks = []
+    for frames in (3_000_000, 12_000_000):
+        clip, out = audio.WavClip(LongFile(frames)), Sink()
+        size = audio.resampled_size(frames, 44100, 16000)
+        tracemalloc.start()
+        audio.write_wav(out, 16000, 1, size, audio.mono_blocks(clip, 16000))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert out.size == 44 + 2 * size
+    assert peaks[1] < 1.1 * peaks[0] < 60e6
+
+
+def test_cuts_and_conversions_from_files(spark, scratch):
+    import os
+    left, right = np.arange(1000) / 2000, -np.arange(1000) / 4000
+    for name, content in {"a b.wav": audio.encode_wav(np.stack([left, right], 1), 1000), "no.wav": b"text",
+                          "cut.wav": audio.encode_wav(left, 1000)[:-4]}.items():
+        with open(f"{scratch}/{name}", "wb") as out:
+            out.write(content)
+    cuts = [("a b.wav", 0.1, 0.35), ("a b.wav", 0.9, 1.0), ("a b.wav", 0.9, 1.1), ("a b.wav", None, 1.0), ("no.wav", 0.0, 1.0),
+            ("cut.wav", 0.0, 0.1), ("gone.wav", 0.0, 1.0)]
+    df = spark.createDataFrame([(f"{scratch}/{n}", s, e) for n, s, e in cuts], "path string, start_s double, end_s double")
+    for _ in range(2):  # a second time replaces the files
+        rows = sorted((os.path.basename(r.cut_path or ""), r.files, r.error and r.error.split("(")[0]) for r in export.cut_clips(df).collect())
+    assert rows == [("", 0, "ValueError"), ("a b_cut_0.1-0.35.wav", 1, None), ("a b_cut_0.9-1.0.wav", 1, None), ("a b_cut_0.9-1.1.wav", 0, "ValueError"),
+                    ("cut_cut_0.0-0.1.wav", 0, "ValueError"), ("gone_cut_0.0-1.0.wav", 0, "FileNotFoundError"), ("no_cut_0.0-1.0.wav", 0, "ValueError")]
+    whole, _ = audio.decode_wav(open(f"{scratch}/a b.wav", "rb").read())
+    got, rate = audio.decode_wav(open(f"{scratch}/a b_cut_0.1-0.35.wav", "rb").read())
+    assert rate == 1000 and np.array_equal(got, whole[100:350])
+    both = spark.createDataFrame([(f"{scratch}/{n}", f"{scratch}/new/x/{n}") for n in ("a b.wav", "no.wav", "cut.wav")], "path string, out_path string")
+    made = {os.path.basename(r.out_path): (r.n_samples, r.error is None) for r in export.convert_clips(both, 1500).collect()}
+    assert made == {"a b.wav": (1500, True), "no.wav": (None, False), "cut.wav": (None, False)}
+    assert os.listdir(f"{scratch}/new/x") == ["a b.wav"]
+    assert not [n for n in os.listdir(scratch) if n.startswith(".")]
+    got, rate = audio.decode_wav(open(f"{scratch}/new/x/a b.wav", "rb").read())
+    assert rate == 1500 and np.abs(got[:, 0] - audio.resample(whole.mean(axis=1), 1000, 1500)).max() <= 0.501 / 32768
