@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duolect.llm.common import Remembered, bound_batches, held, packed, slabs, whole
+from duolect.llm.common import Remembered, bound_batches, held, let_go, packed, slabs, whole
 from duolect.session import materialize
 
 WINDOW = 2048
 # Pieces that one task packs; so many leave hardly any padding.
 GROUP_PIECES = 1 << 16
-# Distinct words whose ids a worker remembers.
+# Distinct words whose ids a worker remembers, to twice as many; some 300 bytes each.
 KNOWN_WORDS = 400_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACES = PIECES + ", sequence_id long, offset long"
@@ -41,12 +41,12 @@ class WordIds:
     after another; most of them have been seen already.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known_words: int = KNOWN_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs as many workers as there are cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words = Remembered(self._learn, KNOWN_WORDS)
+        self.words = Remembered(self._learn, known_words)
 
     def _learn(self, words: list[str]) -> Iterator[bytes]:
         return (packed(found.ids) for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False))
@@ -59,12 +59,13 @@ class WordIds:
         return b"".join(self.words.of(part.split()) for part in slabs(text))
 
 
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str, known_words: int = KNOWN_WORDS) -> WordIds:
     """The worker's own tokenizer of a file."""
-    return held("word ids", path, WordIds)
+    return held(f"ids of {known_words} words", path, lambda path: WordIds(path, known_words))
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, with_ids: bool = False,
+           known_words: int = KNOWN_WORDS) -> DataFrame:
     """Each document's ids and ``end_id``, cut into full windows and a remainder.
 
     Gives doc_id, start, length, ids_crc32, doc_tokens, and with ``with_ids`` the ids
@@ -76,7 +77,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, w
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(tokenizer)
+        words = word_ids(tokenizer, known_words)
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -153,6 +154,7 @@ def place(cut: DataFrame, window: int = WINDOW, group_pieces: int = GROUP_PIECES
     dealt = rows.withColumn("_group", F.pmod(F.col("_deal"), F.lit(groups))).drop("_deal")
 
     def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        let_go()
         group = group.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable")
         numbers, offsets = best_fit(group["length"].tolist(), window)
         return group.drop(columns="_group").assign(sequence_id=[(int(key[0]) << 32) + n for n in numbers], offset=offsets)
@@ -160,15 +162,17 @@ def place(cut: DataFrame, window: int = WINDOW, group_pieces: int = GROUP_PIECES
     return dealt.groupBy("_group").applyInPandas(pack, PLACES)
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, group_pieces: int = GROUP_PIECES) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, group_pieces: int = GROUP_PIECES,
+         known_words: int = KNOWN_WORDS) -> DataFrame:
     """Pack documents: one row per piece, with its sequence and its place there.
 
     Gives doc_id, start, length, ids_crc32 (of the ids as little-endian unsigned 32-bit
     numbers), doc_tokens (with the end id), sequence_id, offset. A null or empty text
     is its end id alone. A null doc_id is carried along, rows that repeat are packed as
     often as they come, other columns are not read, and an empty table gives no rows.
+    ``known_words`` trades a worker's memory for time; the result does not depend on it.
     """
-    return place(pieces(docs, tokenizer, end_id, window), window, group_pieces)
+    return place(pieces(docs, tokenizer, end_id, window, known_words=known_words), window, group_pieces)
 
 
 def sequences(placed: DataFrame, with_ids: DataFrame) -> DataFrame:

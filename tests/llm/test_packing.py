@@ -73,3 +73,10 @@ def test_sequences_hold_the_ids(make):
 
 def test_empty_table(odd):
     assert pack(odd.limit(0), PATH, 1).count() == 0
+
+
+def test_ids_do_not_depend_on_the_words_remembered(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    few, many = (sorted(map(tuple, pack(docs, PATH, 1, **more).select(*names).collect())) for more in ({"known_words": 50}, {}))
+    assert few == many
