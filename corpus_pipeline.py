@@ -15,6 +15,8 @@ from duolect.llm.common import table
 from duolect.session import materialize, ship_package
 
 END_ID = 1
+# Words a worker remembers while packing: fewer than by default, as it shares an executor with what earlier stages left.
+KNOWN_WORDS = 150_000
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document, with its training sequence and place there."""
     ship_package(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID, known_words=KNOWN_WORDS)
 
 
 STAGES = [
