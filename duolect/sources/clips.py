@@ -12,11 +12,11 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duolect.config import SOURCE_RATE
+from duolect.config import AUDIO_ROWS, SOURCE_RATE
 from duolect.functions.audio import WavClip, load_mono
 from duolect.functions.files import clip_shape, file_system, read_clip
 from duolect.functions.text import MISSING_CLIP, listed_path
-from duolect.operators.inference import AUDIO_ROWS, TEXT_ROWS, infer_map, spread
+from duolect.operators.inference import TEXT_ROWS, infer_map, spread
 from duolect.session import materialize
 
 # Entries of a folder that are handed on at a time, and tasks that list folders of one level.
