@@ -6,15 +6,15 @@ import io
 import re
 from collections.abc import Iterator
 from functools import reduce
+from itertools import batched
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duolect.config import AUDIO_ROWS, SOURCE_RATE
 from duolect.functions.audio import WavClip, load_mono
-from duolect.functions.files import clip_shape, file_system, read_clip
+from duolect.functions.files import clip_shape, entries, read_clip
 from duolect.functions.text import MISSING_CLIP, listed_path
 from duolect.operators.inference import TEXT_ROWS, infer_map, spread
 from duolect.session import materialize
@@ -28,14 +28,11 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What lies in each folder: path, length, and whether it is a folder itself."""
     for batch in batches:
         for folder in batch.column(0).to_pylist():
-            system, base = file_system(folder)
-            found = system.get_file_info(fs.FileSelector(base))
-            for at in range(0, len(found), LISTED_ROWS):
-                some = found[at:at + LISTED_ROWS]
-                paths = [f"{folder.rstrip('/')}/{info.base_name}" for info in some]
+            for some in batched(entries(folder), LISTED_ROWS):
+                names, sizes, folders = zip(*some, strict=True)
+                paths = [f"{folder.rstrip('/')}/{name}" for name in names]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(paths, pa.string()), pa.array([info.size or 0 for info in some], pa.int64()),
-                     pa.array([info.type == fs.FileType.Directory for info in some], pa.bool_())], ["path", "length", "folder"])
+                    [pa.array(paths, pa.string()), pa.array(sizes, pa.int64()), pa.array(folders, pa.bool_())], ["path", "length", "folder"])
 
 
 def list_clips(spark: SparkSession, root: str, pattern: str = "*.wav") -> DataFrame:

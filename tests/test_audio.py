@@ -1,14 +1,16 @@
 import io
 import math
+import os
 import wave
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from duolect.functions import arrays, audio
+from duolect.functions import arrays, audio, files
 from duolect.sinks import export
 from duolect.sources import clips as clip_source
 from duolect.sources.clips import clip_shapes, decode_clips, list_clips, scan_clips
@@ -260,3 +262,18 @@ def test_cuts_and_conversions_from_files(spark, scratch):
     assert not [n for n in os.listdir(scratch) if n.startswith(".")]
     got, rate = audio.decode_wav(open(f"{scratch}/new/x/a b.wav", "rb").read())
     assert rate == 1500 and np.abs(got[:, 0] - audio.resample(whole.mean(axis=1), 1000, 1500)).max() <= 0.501 / 32768
+
+
+def test_a_local_folder_is_listed_entry_by_entry(scratch, monkeypatch):
+    for i in range(25):
+        with open(f"{scratch}/{i}.wav", "wb") as file:
+            file.write(b"x" * i)
+    os.mkdir(f"{scratch}/deeper")
+    os.symlink(f"{scratch}/nowhere", f"{scratch}/broken.wav")
+    monkeypatch.setattr(clip_source, "LISTED_ROWS", 10)
+    monkeypatch.setattr(files.fs, "FileSelector", None)  # whose listing is whole
+    batches = list(clip_source._listed(iter([pa.RecordBatch.from_arrays([pa.array([scratch])], ["path"])])))
+    assert [b.num_rows for b in batches] == [10, 10, 7]
+    found = {tuple(row.values()) for b in batches for row in b.to_pylist()}
+    assert found == {(f"{scratch}/{i}.wav", i, False) for i in range(25)} | {
+        (f"{scratch}/deeper", 0, True), (f"{scratch}/broken.wav", 0, False)}
