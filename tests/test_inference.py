@@ -1,3 +1,6 @@
+import gc
+import weakref
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -172,3 +175,17 @@ def test_a_single_item_too_large_for_the_memory_fails_the_task():
 def test_errors_stay_in_place_from_stage_to_stage():
     bad = ValueError("x")
     assert I.onward([1, bad, 3], lambda xs: [x + 1 for x in xs]) == [2, bad, 4] and I.onward([bad], lambda xs: xs) == [bad]
+
+
+def test_waveforms_are_freed_without_the_garbage_collector():
+    gc.collect()
+    gc.disable()
+    try:
+        waves = [np.zeros(1000, np.float32) for _ in range(8)]
+        alive = [weakref.ref(wave) for wave in waves]
+        assert len(I.embed_many(teachers(), waves, 16000)) == 8
+        assert len(I.in_batches(waves, lambda x: x.sum(), lambda some: [x.sum() for x in some], len, 4000)) == 8
+        del waves
+        assert not any(ref() is not None for ref in alive)
+    finally:
+        gc.enable()
