@@ -189,3 +189,11 @@ def test_waveforms_are_freed_without_the_garbage_collector():
         assert not any(ref() is not None for ref in alive)
     finally:
         gc.enable()
+
+
+def test_the_standin_speech_is_its_formula():
+    for size, prompt in ((1, 0), (7, 5), (63, 2047), (64, 2048), (1000, 5000), (2250, 2249)):
+        speech = RampSynthesizer().synthesize("a" * size, None, "fr", [0] * prompt, 0.9)
+        at = np.arange(96 * size, dtype=np.int64)
+        want = ((((at * (1 + size % 64) + prompt % 2048) % 2048) - 1024) / 32768.0).astype(np.float32)
+        assert speech.dtype == np.float32 and (speech == want).all()
