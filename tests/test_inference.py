@@ -197,3 +197,10 @@ def test_the_standin_speech_is_its_formula():
         at = np.arange(96 * size, dtype=np.int64)
         want = ((((at * (1 + size % 64) + prompt % 2048) % 2048) - 1024) / 32768.0).astype(np.float32)
         assert speech.dtype == np.float32 and (speech == want).all()
+
+
+def test_a_codec_of_one_channel_gets_the_speech_without_a_copy():
+    speech = np.arange(640, dtype=np.float32)
+    given_ = I._codec_input(FrameTokenizer, speech, 24000)
+    assert given_.shape == (1, 1, 640) and np.shares_memory(given_, speech) and not given_.flags.writeable
+    speech[0] = 1  # the speech itself stays writable
