@@ -277,3 +277,10 @@ def test_a_local_folder_is_listed_entry_by_entry(scratch, monkeypatch):
     found = {tuple(row.values()) for b in batches for row in b.to_pylist()}
     assert found == {(f"{scratch}/{i}.wav", i, False) for i in range(25)} | {
         (f"{scratch}/deeper", 0, True), (f"{scratch}/broken.wav", 0, False)}
+
+
+def test_encoded_clips_are_rounded_and_bounded():
+    wave = np.array([-2.0, -1.0, 0.5 / 32768, 1.5 / 32768, 0.25, 1.0], np.float32)
+    kept = wave.copy()
+    pcm = np.frombuffer(audio.encode_wav(wave, 24000)[44:], "<i2")
+    assert pcm.tolist() == [-32768, -32768, 0, 2, 8192, 32767] and (wave == kept).all()
