@@ -86,11 +86,11 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     their place. Offsets count code points of the original text from zero.
     """
     bound_batches(docs.sparkSession)
-    rows = materialize(_unit_rows(docs, min_words), "lines-units")
+    rows = materialize(_unit_rows(docs, min_words), "lines-units", digests=["key"])
     total = rows.count()
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "unit")
     first = materialize(rows.groupBy("key").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1"),
-                        "lines-repeated")
+                        "lines-repeated", digests=["key"])
     found = matched(rows, first, "key", "size", total)
     later = found.where(~(same(F.col("doc_id"), F.col("found.first.doc_id")) & (F.col("text_hash") == F.col("found.first.text_hash"))
                           & (F.col("unit") == F.col("found.first.unit"))))

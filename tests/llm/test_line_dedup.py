@@ -1,3 +1,6 @@
+import pyarrow.parquet as pq
+
+from duolect.llm import line_dedup
 from duolect.llm.line_dedup import cut, dedup_lines, keep_rest, units
 
 PASSAGE = "This passage has rather more words than eight. It goes on. And it ends with quite a few more words here."
@@ -70,3 +73,14 @@ def test_short_whole_lines_are_cut_under_any_text(make):
     assert found == {1: rows[0][1], 2: "Quite another one.\nAnd an end.", 3: "", 4: rows[3][1], 5: "Yes. No.\n", 6: "Some words.\n"}
     kept = {r.doc_id: (r.text, r.n_chars) for r in keep_rest(make(rows)).collect()}
     assert kept == {i: (t, len(t)) for i, t in {**found, 3: short}.items()}
+
+
+def test_units_are_stored_in_few_row_groups(make, monkeypatch):
+    stored, keep = {}, line_dedup.materialize
+    monkeypatch.setattr(line_dedup, "materialize", lambda df, purpose, **kw: stored.setdefault(purpose, keep(df, purpose, **kw)))
+    rows = [(i, "".join(f"This is line {n} of a text, longer than eight words.\n" for n in range(40))) for i in range(100)]
+    assert dedup_lines(make(rows).coalesce(1)).where("text = ''").count() == 99
+    for purpose, total in (("lines-units", 4000), ("lines-repeated", 40)):
+        groups = [m.row_group(i).num_rows for f in stored[purpose].inputFiles()
+                  for m in [pq.ParquetFile(f.removeprefix("file:").replace("///", "/")).metadata] for i in range(m.num_row_groups)]
+        assert sum(groups) == total and len(groups) <= 8

@@ -17,3 +17,12 @@ def test_stored_clips_are_read_a_few_rows_at_a_time(spark):
     assert sum(sizes) == 500 and max(sizes) <= AUDIO_ROWS
     assert stored.agg(F.sum(F.octet_length("clip"))).first()[0] == 500 * 100_000
     assert max(_group_rows(materialize(rows.drop("clip"), "plain"))) == 250
+
+
+def test_digests_are_stored_in_groups_of_ordinary_size(spark):
+    rows = spark.range(0, 500, 1, 2).withColumn("key", F.unhex(F.md5(F.col("id").cast("string"))))
+    stored = materialize(rows, "digests", digests=["key"])
+    assert _group_rows(stored) == [250, 250]
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, rows.collect()))
+    both = rows.withColumn("clip", F.repeat(F.lit("a"), 10_000).cast("binary"))
+    assert max(_group_rows(materialize(both, "clips", digests=["key"]))) <= AUDIO_ROWS
