@@ -7,7 +7,7 @@ far out of place they are; the nearest profile wins.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,8 @@ from duolect.llm.labelled import held_out
 FOLDS, FOLD = 4, 2
 # N-grams in a profile, of one to three letters.
 PROFILE = 400
+# N-grams that wait to be counted, 8 bytes each.
+WAITING = 1 << 19
 UNKNOWN = "und"
 # What stands for everything between words; no letter has this code point.
 GAP = 1
@@ -76,6 +78,32 @@ def ranked(codes: np.ndarray, counts: np.ndarray, size: int = PROFILE) -> np.nda
     return codes[np.lexsort((codes, -counts))[:size]]
 
 
+def tallied(pairs: Iterable[tuple[str, str]], waiting: int = WAITING) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Distinct n-grams of all texts of each language and how often each occurs, from (language, text) pairs.
+
+    N-grams are counted whenever ``waiting`` of them have come up, so that a batch of texts is never held as n-grams.
+    """
+    seen: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    grams: dict[str, list[np.ndarray]] = {}
+
+    def count() -> None:
+        for lang, parts in grams.items():
+            new = np.unique(np.concatenate(parts), return_counts=True)
+            seen[lang] = merged([seen[lang], new]) if lang in seen else new
+        grams.clear()
+
+    held = 0
+    for lang, text in pairs:
+        for part in slabs(text):
+            grams.setdefault(lang, []).append(ngrams(part))
+            held += len(grams[lang][-1])
+            if held >= waiting:
+                count()
+                held = 0
+    count()
+    return seen
+
+
 def learn(docs: DataFrame, size: int = PROFILE) -> dict[str, np.ndarray]:
     """Profiles by language from all rows of ``docs`` with a language: n-gram counts of every text.
 
@@ -85,15 +113,9 @@ def learn(docs: DataFrame, size: int = PROFILE) -> dict[str, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
-        seen: dict[str, list] = {}
-        for batch in batches:
-            grams: dict[str, list] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                grams.setdefault(lang, []).extend(ngrams(part) for part in slabs(text))
-            for lang, parts in grams.items():
-                parts = parts or [np.zeros(0, np.int64)]
-                seen[lang] = [merged([*seen.get(lang, []), np.unique(np.concatenate(parts), return_counts=True)])]
-        for lang, [(codes, counts)] in seen.items():
+        pairs = (pair for batch in batches for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        seen = tallied(pairs)
+        for lang, (codes, counts) in seen.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(counts)],
                                              ["lang", "code", "n"])
 

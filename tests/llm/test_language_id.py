@@ -1,9 +1,10 @@
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from duolect.llm.language_id import GAP, Nearest, counted, keep_identified, learn, ngrams, predict_languages, ranked
+from duolect.llm.language_id import GAP, Nearest, counted, keep_identified, learn, ngrams, predict_languages, ranked, tallied
 
 
 def plain(text):
@@ -47,6 +48,24 @@ def test_profiles_count_every_text(spark, make):
     assert set(got) == {lang for lang, counts in want.items() if counts}
 
 
+def test_tallies_do_not_depend_on_when_they_are_counted():
+    pairs = [("en" if i % 3 else "fr", f"word{chr(97 + i % 26)} thing " * (i % 5)) for i in range(200)]
+    want = tallied(pairs)
+    for waiting in (1, 100):
+        got = tallied(pairs, waiting)
+        assert set(got) == set(want) == {"en", "fr"}
+        assert all((a == b).all() for lang in want for a, b in zip(got[lang], want[lang], strict=True))
+
+
+def test_a_batch_of_texts_is_not_held_as_ngrams():
+    pairs = [("en", f"a text number {i} of quite many " * 200) for i in range(700)]  # 4 MB, as a batch
+    tracemalloc.start()
+    tallied(iter(pairs))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6  # 262 MB with the n-grams of all texts at once
+
+
 def test_distance_is_out_of_place():
     nearest = Nearest({"a": np.array([10, 20, 30]), "b": np.array([30, 20, 10])}, size=3)
     own = ranked(np.array([10, 20, 40]), np.array([5, 3, 9]), 3)
